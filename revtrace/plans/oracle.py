@@ -127,6 +127,15 @@ material_processado AS (
 """
 
 
+REPORT_KEYS = (
+    "relational_division",
+    "lots_without_sorting",
+    "centres_above_average",
+    "trace_origin_by_material",
+    "carrier_mean_transit",
+)
+
+
 def with_domain(body: str, extra_ctes: str = "") -> str:
     ctes = DOMAIN_VIEWS.strip()
     if extra_ctes.strip():
@@ -193,6 +202,80 @@ ORDER BY media_dias
 """,
 }
 
+LISTINGS: dict[str, str] = {
+    "list_collection_points": "SELECT rua, cidade, cep, estado FROM ponto_coleta ORDER BY cidade, rua",
+    "list_devices": "SELECT nome, CAST(peso_medio AS DOUBLE) AS peso_medio, categoria FROM dispositivo_eletronico ORDER BY nome",
+    "list_lots": "SELECT id_lote, data_coleta, cidade, estado FROM lote_coleta ORDER BY id_lote",
+    "list_materials": "SELECT nome, tipo_material FROM material ORDER BY nome",
+    "list_sorting_centres": "SELECT cnpj, nome, cidade FROM centro_triagem ORDER BY nome",
+    "list_recycling_centres": "SELECT cnpj, nome, cidade, licenca_ambiental FROM centro_reciclagem ORDER BY nome",
+    "list_carriers": "SELECT cnpj, nome FROM transportadora ORDER BY nome",
+}
+
+OPERATORS: dict[str, str] = {
+    "join_inner_single_key": """
+SELECT lc.id_lote, tct.cod_rastreio, tct.centro_triagem
+FROM lote_coleta lc JOIN transporte_coleta_tri tct ON lc.transporte = tct.cod_rastreio
+""",
+    "join_inner_composite2": """
+SELECT lt.lote_coleta, lt.pin_lote_tri, lt.categoria,
+       CAST(lt.peso_exato AS DOUBLE) AS peso_exato,
+       pr.data_processamento, pr.tipo_de_processamento
+FROM lote_triado lt
+JOIN processo_reciclagem pr ON lt.lote_coleta = pr.lote_coleta
+                           AND lt.pin_lote_tri = pr.pin_lote_tri
+""",
+    "join_inner_composite4": """
+SELECT lc.id_lote, lc.cidade, lc.estado, CAST(pc.capacidade_max AS DOUBLE) AS capacidade_max
+FROM lote_coleta lc
+JOIN ponto_coleta pc ON pc.rua = lc.rua AND pc.cidade = lc.cidade
+                    AND pc.cep = lc.cep AND pc.estado = lc.estado
+""",
+    "join_left_outer": """
+SELECT lc.id_lote, lt.pin_lote_tri
+FROM lote_coleta lc LEFT JOIN lote_triado lt ON lc.id_lote = lt.lote_coleta
+""",
+    "not_exists_one_level": """
+SELECT de.nome, de.categoria FROM dispositivo_eletronico de
+WHERE NOT EXISTS (
+  SELECT 1 FROM qtd_produto_lote q WHERE q.dispositivo_eletronico = de.nome)
+""",
+    "subtype_semi_filter": """
+SELECT t.cod_rastreio, t.transportadora, t.data_envio, t.data_chegada
+FROM transporte t JOIN transporte_coleta_tri tct ON t.cod_rastreio = tct.cod_rastreio
+""",
+    "sum_by_three_keys": """
+SELECT cnpj, nome, licenca_ambiental, CAST(volume_total AS DOUBLE) AS volume_total
+FROM volume_por_centro
+""",
+    "avg_of_group_sums": """
+SELECT COUNT(volume_total) AS n_centres,
+       CAST(SUM(volume_total) AS DOUBLE) AS total_volume,
+       CAST(ROUND(AVG(volume_total), 6) AS DOUBLE) AS avg_volume
+FROM volume_por_centro
+""",
+    "distinct_points": "SELECT DISTINCT rua, cidade, cep, estado FROM lote_coleta",
+    "transit_days": """
+SELECT cod_rastreio, CAST(data_chegada - data_envio AS INTEGER) AS dias FROM transporte
+""",
+    "option_labels": """
+SELECT 'point' AS kind, rua || '|' || cidade || '|' || cep || '|' || estado AS option_key,
+       rua || ' — ' || cidade || '/' || estado AS label
+FROM ponto_coleta
+UNION ALL
+SELECT 'lot', CAST(id_lote AS VARCHAR),
+       '#' || CAST(id_lote AS VARCHAR) || ' — ' || cidade || '/' || estado
+         || ' (' || strftime(data_coleta, '%Y-%m-%d') || ')'
+FROM lote_coleta
+UNION ALL
+SELECT 'device', nome,
+       nome || ' (' || categoria || ', ' || CAST(peso_medio AS VARCHAR) || ' kg)'
+FROM dispositivo_eletronico
+UNION ALL
+SELECT 'material', nome, nome || ' — ' || tipo_material FROM material
+""",
+}
+
 VOLUME_CTE = """
 volume_por_centro AS (
   SELECT cr.cnpj, cr.nome, cr.licenca_ambiental, SUM(lt.peso_exato) AS volume_total
@@ -206,7 +289,15 @@ volume_por_centro AS (
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for key, body in REPORTS.items():
-        extra = VOLUME_CTE if key == "centres_above_average" else ""
+    volume_users = {"centres_above_average", "sum_by_three_keys", "avg_of_group_sums"}
+    for key, body in {**REPORTS, **LISTINGS, **OPERATORS}.items():
+        extra = VOLUME_CTE if key in volume_users else ""
         out[key] = with_domain(body, extra)
+    out["result_count"] = with_domain(
+        " UNION ALL ".join(
+            f"SELECT '{k}' AS report, COUNT(*) AS n_rows FROM ({REPORTS[k].strip()}) q_{i}"
+            for i, k in enumerate(REPORT_KEYS)
+        ),
+        VOLUME_CTE,
+    )
     return out

@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.operators import reports
+from revtrace.operators import listings, relational, reports
 from revtrace.sources.testdata import domain_from_testdata
 
 # Fixed value: the material traced by the registered lineage query.
@@ -41,6 +42,25 @@ def _report(fn: Callable, *args) -> QueryFn:
     return run
 
 
+def result_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of each report: one row per report (``report``, ``n_rows``)."""
+    d = domain_from_testdata(spark, sf_dir)
+    runs = {
+        "relational_division": reports.relational_division(d),
+        "lots_without_sorting": reports.lots_without_sorting(d),
+        "centres_above_average": reports.centres_above_average(d),
+        "trace_origin_by_material": reports.trace_origin_by_material(d, TRACED_MATERIAL),
+        "carrier_mean_transit": reports.carrier_mean_transit(d),
+    }
+    out = None
+    for name, df in runs.items():
+        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("report"), "n_rows"
+        )
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "relational_division": _report(reports.relational_division),
@@ -50,4 +70,23 @@ def queries() -> dict[str, QueryFn]:
             reports.trace_origin_by_material, TRACED_MATERIAL
         ),
         "carrier_mean_transit": _report(reports.carrier_mean_transit),
+        "list_collection_points": _report(listings.list_collection_points),
+        "list_devices": _report(listings.list_devices),
+        "list_lots": _report(listings.list_lots),
+        "list_materials": _report(listings.list_materials),
+        "list_sorting_centres": _report(listings.list_sorting_centres),
+        "list_recycling_centres": _report(listings.list_recycling_centres),
+        "list_carriers": _report(listings.list_carriers),
+        "join_inner_single_key": _report(relational.join_inner_single_key),
+        "join_inner_composite2": _report(relational.join_inner_composite2),
+        "join_inner_composite4": _report(relational.join_inner_composite4),
+        "join_left_outer": _report(relational.join_left_outer),
+        "not_exists_one_level": _report(relational.not_exists_one_level),
+        "subtype_semi_filter": _report(relational.subtype_semi_filter),
+        "sum_by_three_keys": _report(relational.sum_by_three_keys),
+        "avg_of_group_sums": _report(relational.avg_of_group_sums),
+        "distinct_points": _report(relational.distinct_points),
+        "transit_days": _report(relational.transit_days_by_transport),
+        "option_labels": _report(listings.option_labels),
+        "result_count": result_count,
     }
