@@ -300,4 +300,150 @@ def oracle_sql() -> dict[str, str]:
         ),
         VOLUME_CTE,
     )
+    out.update(quality_sql())
+    return out
+
+
+# ------------------------------------------------------------------ checks
+# Generated from the table catalogue: one SELECT per constraint, each an
+# independent DuckDB scan (no shared aggregation with the Spark side).
+
+
+def _faulty_ref(table: str) -> str:
+    from revtrace.sources.faults import FAULTY_TABLES
+
+    return f"{table}_f" if table in FAULTY_TABLES else table
+
+
+def _check_sql(kind: str) -> str:
+    from revtrace.schema import TABLES
+
+    parts = []
+    for name, t in TABLES.items():
+        ref = _faulty_ref(name)
+        if kind == "not_null":
+            for c in t.columns:
+                if not c.nullable:
+                    parts.append(
+                        f"SELECT '{name}' AS table_name, 'nn_{name}_{c.name}' AS constraint_name, "
+                        f"CAST(COUNT(*) FILTER (WHERE {c.name} IS NULL) AS BIGINT) AS violations "
+                        f"FROM {ref}"
+                    )
+        elif kind == "length":
+            for c in t.columns:
+                if c.length is not None:
+                    parts.append(
+                        f"SELECT '{name}' AS table_name, 'len_{name}_{c.name}' AS constraint_name, "
+                        f"CAST(COUNT(*) FILTER (WHERE length(rtrim({c.name})) > {c.length}) AS BIGINT) "
+                        f"AS violations FROM {ref}"
+                    )
+        elif kind in ("primary_key", "unique"):
+            keys = (
+                [(t.pk_name, t.primary_key)]
+                if kind == "primary_key"
+                else [(u.name, u.columns) for u in t.uniques]
+            )
+            for cname, cols in keys:
+                null_key = " OR ".join(f"{c} IS NULL" for c in cols)
+                null_rows = "n" if kind == "primary_key" else "0"
+                parts.append(
+                    f"SELECT '{name}' AS table_name, '{cname}' AS constraint_name, "
+                    f"CAST(COUNT(*) FILTER (WHERE NOT null_key AND n > 1) AS BIGINT) AS duplicate_groups, "
+                    f"CAST(COALESCE(SUM(CASE WHEN null_key THEN {null_rows} "
+                    f"WHEN n > 1 THEN n - 1 ELSE 0 END), 0) AS BIGINT) AS violations "
+                    f"FROM (SELECT ({null_key}) AS null_key, COUNT(*) AS n FROM {ref} "
+                    f"GROUP BY {', '.join(cols)}) g"
+                )
+        elif kind == "foreign_key":
+            for fk in t.foreign_keys:
+                pref = _faulty_ref(fk.parent)
+                not_null = " AND ".join(f"c.{c} IS NOT NULL" for c in fk.columns)
+                match = " AND ".join(
+                    f"p.{p} = c.{c}" for c, p in zip(fk.columns, fk.parent_columns)
+                )
+                parts.append(
+                    f"SELECT '{name}' AS table_name, '{fk.name}' AS constraint_name, "
+                    f"'{fk.parent}' AS parent_table, CAST(COUNT(*) AS BIGINT) AS violations "
+                    f"FROM {ref} c WHERE {not_null} "
+                    f"AND NOT EXISTS (SELECT 1 FROM {pref} p WHERE {match})"
+                )
+    return "\nUNION ALL\n".join(parts)
+
+
+DELETES: dict[str, str] = {
+    "cascade_delete": """
+SELECT 'lote_coleta' AS table_name, 'deleted' AS effect, COUNT(*) AS affected_rows FROM del_lc
+UNION ALL SELECT 'qtd_produto_lote', 'deleted', COUNT(*) FROM qtd_produto_lote
+  WHERE lote IN (SELECT id_lote FROM del_lc)
+UNION ALL SELECT 'lote_triado', 'deleted', COUNT(*) FROM del_lt
+UNION ALL SELECT 'processo_reciclagem', 'deleted', COUNT(*) FROM del_pr
+UNION ALL SELECT 'material_processado', 'deleted', COUNT(*) FROM material_processado mp
+  WHERE EXISTS (SELECT 1 FROM del_pr d WHERE d.data_processamento = mp.data_processamento
+                AND d.tipo_de_processamento = mp.tipo_de_processamento)
+""",
+    "set_null_on_delete": """
+SELECT 'transporte' AS table_name, 'deleted' AS effect, COUNT(*) AS affected_rows FROM del_t
+UNION ALL SELECT 'transporte_coleta_tri', 'deleted', COUNT(*) FROM transporte_coleta_tri
+  WHERE cod_rastreio IN (SELECT cod_rastreio FROM del_t)
+UNION ALL SELECT 'transporte_tri_reciclagem', 'deleted', COUNT(*) FROM transporte_tri_reciclagem
+  WHERE cod_rastreio IN (SELECT cod_rastreio FROM del_t)
+UNION ALL SELECT 'lote_coleta', 'set_null', COUNT(*) FROM lote_coleta
+  WHERE transporte IN (SELECT cod_rastreio FROM transporte_coleta_tri
+                       WHERE cod_rastreio IN (SELECT cod_rastreio FROM del_t))
+UNION ALL SELECT 'lote_triado', 'set_null', COUNT(*) FROM lote_triado
+  WHERE transporte_tri_reciclagem IN (SELECT cod_rastreio FROM transporte_tri_reciclagem
+                                      WHERE cod_rastreio IN (SELECT cod_rastreio FROM del_t))
+""",
+    "restrict_delete": """
+SELECT * FROM (
+  SELECT 'dispositivo_eletronico' AS table_name, 'fk_disp_categoria' AS constraint_name,
+         'categoria' AS parent_table, COUNT(*) AS referencing_rows
+  FROM dispositivo_eletronico WHERE categoria IN (SELECT nome FROM categoria)
+  UNION ALL
+  SELECT 'lote_triado', 'fk_lote_triado_categoria', 'categoria', COUNT(*)
+  FROM lote_triado WHERE categoria IN (SELECT nome FROM categoria)) b
+WHERE referencing_rows > 0
+""",
+}
+
+DELETE_CTES = {
+    "cascade_delete": """
+del_lc AS (SELECT id_lote FROM lote_coleta WHERE id_lote % 10 = 0),
+del_lt AS (SELECT lote_coleta, pin_lote_tri FROM lote_triado
+           WHERE lote_coleta IN (SELECT id_lote FROM del_lc)),
+del_pr AS (SELECT data_processamento, tipo_de_processamento FROM processo_reciclagem pr
+           WHERE EXISTS (SELECT 1 FROM del_lt d WHERE d.lote_coleta = pr.lote_coleta
+                         AND d.pin_lote_tri = pr.pin_lote_tri))
+""",
+    "set_null_on_delete": """
+del_t AS (SELECT cod_rastreio FROM transporte
+          WHERE cod_rastreio LIKE 'CT-%'
+            AND TRY_CAST(substr(cod_rastreio, 4) AS BIGINT) % 10 = 0)
+""",
+    "restrict_delete": "",
+}
+
+TRANSPORT_UNIFIED = """
+SELECT t.cod_rastreio, t.transportadora, t.data_envio, t.data_chegada,
+       CASE WHEN tct.cod_rastreio IS NOT NULL AND ttr.cod_rastreio IS NOT NULL THEN 'both'
+            WHEN tct.cod_rastreio IS NOT NULL THEN 'coleta_triagem'
+            WHEN ttr.cod_rastreio IS NOT NULL THEN 'triagem_reciclagem' END AS leg,
+       COALESCE(tct.centro_triagem, ttr.centro_reciclagem) AS destino,
+       ttr.mtr
+FROM transporte t
+LEFT JOIN transporte_coleta_tri tct ON t.cod_rastreio = tct.cod_rastreio
+LEFT JOIN transporte_tri_reciclagem ttr ON t.cod_rastreio = ttr.cod_rastreio
+"""
+
+
+def quality_sql() -> dict[str, str]:
+    from revtrace.sources.faults import FAULTY_VIEWS_SQL
+
+    out = {
+        f"check_{k}": with_domain(_check_sql(k), FAULTY_VIEWS_SQL)
+        for k in ("not_null", "length", "primary_key", "unique", "foreign_key")
+    }
+    for k, body in DELETES.items():
+        out[k] = with_domain(body, DELETE_CTES[k])
+    out["transport_unified"] = with_domain(TRANSPORT_UNIFIED)
     return out

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.operators import listings, relational, reports
+from revtrace.operators import listings, quality, relational, reports
+from revtrace.sources.faults import with_faults
 from revtrace.sources.testdata import domain_from_testdata
 
 # Fixed value: the material traced by the registered lineage query.
@@ -61,6 +62,37 @@ def result_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _checked(fn: Callable) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(with_faults(domain_from_testdata(spark, sf_dir)))
+
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delete every tenth lot (by id) and report the cascaded deletions."""
+    d = domain_from_testdata(spark, sf_dir)
+    doomed = d.lote_coleta.filter(F.col("id_lote") % 10 == 0)
+    return quality.plan_delete(d, "lote_coleta", doomed).summary()
+
+
+def set_null_on_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delete every tenth first-leg transport; lots lose their transport."""
+    d = domain_from_testdata(spark, sf_dir)
+    code = F.col("cod_rastreio")
+    doomed = d.transporte.filter(
+        code.startswith("CT-") & (F.substring(code, 4, 64).try_cast("long") % 10 == 0)
+    )
+    return quality.plan_delete(d, "transporte", doomed).summary()
+
+
+def restrict_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Try to delete every category: the NO ACTION keys that refuse it."""
+    d = domain_from_testdata(spark, sf_dir)
+    return quality.plan_delete(d, "categoria", d.categoria).blocking
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "relational_division": _report(reports.relational_division),
@@ -89,4 +121,13 @@ def queries() -> dict[str, QueryFn]:
         "transit_days": _report(relational.transit_days_by_transport),
         "option_labels": _report(listings.option_labels),
         "result_count": result_count,
+        "check_not_null": _checked(quality.check_not_null),
+        "check_length": _checked(quality.check_length),
+        "check_primary_key": _checked(quality.check_primary_key),
+        "check_unique": _checked(quality.check_unique),
+        "check_foreign_key": _checked(quality.check_foreign_key),
+        "cascade_delete": cascade_delete,
+        "set_null_on_delete": set_null_on_delete,
+        "restrict_delete": restrict_delete,
+        "transport_unified": _report(quality.transport_unified),
     }
