@@ -301,6 +301,7 @@ def oracle_sql() -> dict[str, str]:
         VOLUME_CTE,
     )
     out.update(quality_sql())
+    out.update(ingest_sql())
     return out
 
 
@@ -447,3 +448,215 @@ def quality_sql() -> dict[str, str]:
         out[k] = with_domain(body, DELETE_CTES[k])
     out["transport_unified"] = with_domain(TRANSPORT_UNIFIED)
     return out
+
+
+# ------------------------------------------------------------------ ingest
+# Same rules as revtrace.operators.ingest, written as set SQL. First-wins
+# over two unique keys is taken in a single pass here (first in both key
+# groups); that equals the sequential outcome on these feeds because a
+# repeated submission repeats its whole row, so no acceptance chain
+# (second in one group only because the first was rejected) can form.
+
+INGEST_POINTS_CTES = """
+prep_points AS (
+  SELECT submit_seq, rua, cidade, rtrim(cep) AS cep,
+         rtrim(upper(substr(estado, 1, 2))) AS estado,
+         TRY_CAST(capacidade_max AS DECIMAL(18,2)) AS cap,
+         concat_ws(', ',
+           CASE WHEN rua IS NULL OR rua = '' THEN 'rua' END,
+           CASE WHEN cidade IS NULL OR cidade = '' THEN 'cidade' END,
+           CASE WHEN cep IS NULL OR cep = '' THEN 'cep' END,
+           CASE WHEN estado IS NULL OR estado = '' THEN 'estado' END,
+           CASE WHEN capacidade_max IS NULL OR capacidade_max = '' THEN 'capacidade_max' END
+         ) AS missing
+  FROM sub_points),
+cls_points AS (
+  SELECT *,
+         concat_ws(', ',
+           CASE WHEN length(rtrim(rua)) > 100 THEN 'rua' END,
+           CASE WHEN length(rtrim(cidade)) > 50 THEN 'cidade' END,
+           CASE WHEN length(rtrim(cep)) > 8 THEN 'cep' END,
+           CASE WHEN length(rtrim(estado)) > 2 THEN 'estado' END) AS long_cols
+  FROM prep_points),
+st_points AS (
+  SELECT *,
+         CASE WHEN missing <> '' THEN 'missing'
+              WHEN cap IS NULL THEN 'type'
+              WHEN long_cols <> '' THEN 'too_long' END AS static_reason,
+         EXISTS (SELECT 1 FROM ponto_coleta p WHERE p.rua = c.rua AND p.cidade = c.cidade
+                 AND p.cep = c.cep AND p.estado = c.estado) AS ex_pk
+  FROM cls_points c),
+acc_points AS (
+  SELECT rua, cidade, cep, estado, MIN(submit_seq) AS acc_pk
+  FROM st_points WHERE static_reason IS NULL AND NOT ex_pk
+  GROUP BY rua, cidade, cep, estado),
+out_points AS (
+  SELECT s.submit_seq,
+         CASE WHEN s.static_reason IS NOT NULL THEN s.static_reason
+              WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'duplicate_key' END AS reason,
+         CASE WHEN s.static_reason = 'missing' THEN s.missing
+              WHEN s.static_reason = 'type' THEN 'capacidade_max'
+              WHEN s.static_reason = 'too_long' THEN s.long_cols
+              WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'pk_ponto_coleta' END AS detail,
+         CASE WHEN s.static_reason = 'type' THEN '22P02'
+              WHEN s.static_reason = 'too_long' THEN '22001'
+              WHEN s.static_reason IS NULL AND (s.ex_pk OR a.acc_pk < s.submit_seq)
+                THEN '23505' END AS sqlstate
+  FROM st_points s
+  LEFT JOIN acc_points a ON s.rua = a.rua AND s.cidade = a.cidade
+                        AND s.cep = a.cep AND s.estado = a.estado)
+"""
+
+INGEST_LOTS_CTES = """
+prep_lots AS (
+  SELECT submit_seq,
+         CASE WHEN regexp_full_match(trim(id_lote), '[+-]?[0-9]+')
+              THEN TRY_CAST(trim(id_lote) AS BIGINT) END AS id,
+         rua, cidade, rtrim(cep) AS cep, rtrim(upper(substr(estado, 1, 2))) AS estado,
+         CAST(TRY_STRPTIME(trim(data_coleta), '%Y-%m-%d') AS DATE) AS data,
+         concat_ws(', ',
+           CASE WHEN id_lote IS NULL OR trim(id_lote) = '' THEN 'id_lote' END,
+           CASE WHEN rua IS NULL OR trim(rua) = '' THEN 'rua' END,
+           CASE WHEN cidade IS NULL OR trim(cidade) = '' THEN 'cidade' END,
+           CASE WHEN cep IS NULL OR trim(cep) = '' THEN 'cep' END,
+           CASE WHEN estado IS NULL OR trim(estado) = '' THEN 'estado' END,
+           CASE WHEN data_coleta IS NULL OR trim(data_coleta) = '' THEN 'data_coleta' END
+         ) AS missing
+  FROM sub_lots),
+st_lots AS (
+  SELECT c.*,
+         concat_ws(', ',
+           CASE WHEN length(rtrim(rua)) > 100 THEN 'rua' END,
+           CASE WHEN length(rtrim(cidade)) > 50 THEN 'cidade' END,
+           CASE WHEN length(rtrim(cep)) > 8 THEN 'cep' END,
+           CASE WHEN length(rtrim(estado)) > 2 THEN 'estado' END) AS long_cols,
+         EXISTS (SELECT 1 FROM ponto_coleta p WHERE p.rua = c.rua AND p.cidade = c.cidade
+                 AND p.cep = c.cep AND p.estado = c.estado) AS fk_ok,
+         EXISTS (SELECT 1 FROM lote_coleta l WHERE l.id_lote = c.id) AS ex_pk,
+         EXISTS (SELECT 1 FROM lote_coleta l WHERE l.rua = c.rua AND l.cidade = c.cidade
+                 AND l.cep = c.cep AND l.estado = c.estado
+                 AND l.data_coleta = c.data) AS ex_nk
+  FROM prep_lots c),
+st2_lots AS (
+  SELECT *,
+         CASE WHEN missing <> '' THEN 'missing'
+              WHEN id IS NULL OR data IS NULL THEN 'type'
+              WHEN long_cols <> '' THEN 'too_long' END AS static_reason
+  FROM st_lots),
+pool_lots AS (
+  SELECT * FROM st2_lots
+  WHERE static_reason IS NULL AND fk_ok AND NOT ex_pk AND NOT ex_nk),
+acc_lots AS (
+  SELECT p.* FROM pool_lots p
+  WHERE p.submit_seq = (SELECT MIN(q.submit_seq) FROM pool_lots q WHERE q.id = p.id)
+    AND p.submit_seq = (SELECT MIN(q.submit_seq) FROM pool_lots q
+                        WHERE q.rua = p.rua AND q.cidade = p.cidade AND q.cep = p.cep
+                          AND q.estado = p.estado AND q.data = p.data)),
+dec_lots AS (
+  SELECT s.*,
+         (s.ex_pk OR a1.submit_seq < s.submit_seq) AS c_pk,
+         (s.ex_nk OR a2.submit_seq < s.submit_seq) AS c_nk
+  FROM st2_lots s
+  LEFT JOIN acc_lots a1 ON s.id = a1.id
+  LEFT JOIN acc_lots a2 ON s.rua = a2.rua AND s.cidade = a2.cidade AND s.cep = a2.cep
+                       AND s.estado = a2.estado AND s.data = a2.data),
+out_lots AS (
+  SELECT submit_seq,
+         CASE WHEN static_reason IS NOT NULL THEN static_reason
+              WHEN c_pk OR c_nk THEN 'duplicate_key'
+              WHEN NOT fk_ok THEN 'foreign_key' END AS reason,
+         CASE WHEN static_reason = 'missing' THEN missing
+              WHEN static_reason = 'type' THEN CASE WHEN id IS NULL THEN 'id_lote' ELSE 'data_coleta' END
+              WHEN static_reason = 'too_long' THEN long_cols
+              WHEN c_pk THEN 'pk_lote_coleta'
+              WHEN c_nk THEN 'uq_chave_natural_lote'
+              WHEN NOT fk_ok THEN 'fk_lote_ponto_coleta' END AS detail,
+         CASE WHEN static_reason = 'type' THEN CASE WHEN id IS NULL THEN '22P02' ELSE '22007' END
+              WHEN static_reason = 'too_long' THEN '22001'
+              WHEN static_reason IS NOT NULL THEN NULL
+              WHEN c_pk OR c_nk THEN '23505'
+              WHEN NOT fk_ok THEN '23503' END AS sqlstate
+  FROM dec_lots)
+"""
+
+INGEST_DEVICES_CTES = """
+prep_dev AS (
+  SELECT submit_seq,
+         CASE WHEN regexp_full_match(trim(id_lote), '[+-]?[0-9]+')
+              THEN TRY_CAST(trim(id_lote) AS BIGINT) END AS lote,
+         dispositivo,
+         TRY_CAST(quantidade AS DECIMAL(18,2)) AS qty,
+         concat_ws(', ',
+           CASE WHEN id_lote IS NULL OR trim(id_lote) = '' THEN 'id_lote' END,
+           CASE WHEN dispositivo IS NULL OR trim(dispositivo) = '' THEN 'dispositivo' END,
+           CASE WHEN quantidade IS NULL OR trim(quantidade) = '' THEN 'quantidade' END
+         ) AS missing
+  FROM sub_devices),
+lot_parents AS (
+  SELECT id_lote FROM lote_coleta UNION ALL SELECT id FROM acc_lots),
+st_dev AS (
+  SELECT c.*,
+         CASE WHEN missing <> '' THEN 'missing'
+              WHEN lote IS NULL OR qty IS NULL THEN 'type'
+              WHEN length(rtrim(dispositivo)) > 100 THEN 'too_long' END AS static_reason,
+         c.lote IN (SELECT id_lote FROM lot_parents) AS fk_lote_ok,
+         EXISTS (SELECT 1 FROM dispositivo_eletronico d WHERE d.nome = c.dispositivo) AS fk_dev_ok,
+         EXISTS (SELECT 1 FROM qtd_produto_lote q WHERE q.lote = c.lote
+                 AND q.dispositivo_eletronico = c.dispositivo) AS ex_pk
+  FROM prep_dev c),
+acc_dev AS (
+  SELECT lote, dispositivo, MIN(submit_seq) AS acc_pk FROM st_dev
+  WHERE static_reason IS NULL AND fk_lote_ok AND fk_dev_ok AND NOT ex_pk
+  GROUP BY lote, dispositivo),
+out_devices AS (
+  SELECT s.submit_seq,
+         CASE WHEN s.static_reason IS NOT NULL THEN s.static_reason
+              WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'duplicate_key'
+              WHEN NOT (s.fk_lote_ok AND s.fk_dev_ok) THEN 'foreign_key' END AS reason,
+         CASE WHEN s.static_reason = 'missing' THEN s.missing
+              WHEN s.static_reason = 'type'
+                THEN CASE WHEN s.lote IS NULL THEN 'id_lote' ELSE 'quantidade' END
+              WHEN s.static_reason = 'too_long' THEN 'dispositivo_eletronico'
+              WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'pk_qtd_produto_lote'
+              WHEN NOT s.fk_lote_ok THEN 'fk_qtd_lote'
+              WHEN NOT s.fk_dev_ok THEN 'fk_qtd_dispositivo' END AS detail,
+         CASE WHEN s.static_reason = 'type' THEN '22P02'
+              WHEN s.static_reason = 'too_long' THEN '22001'
+              WHEN s.static_reason IS NOT NULL THEN NULL
+              WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN '23505'
+              WHEN NOT (s.fk_lote_ok AND s.fk_dev_ok) THEN '23503' END AS sqlstate
+  FROM st_dev s
+  LEFT JOIN acc_dev a ON s.lote = a.lote AND s.dispositivo = a.dispositivo)
+"""
+
+
+def _outcomes(cte: str) -> str:
+    return (
+        "SELECT submit_seq, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END "
+        f"AS outcome, reason, sqlstate, detail FROM {cte}"
+    )
+
+
+def ingest_sql() -> dict[str, str]:
+    from revtrace.sources.submissions import (
+        LOT_DEVICE_SUBMISSIONS_SQL,
+        LOT_SUBMISSIONS_SQL,
+        POINT_SUBMISSIONS_SQL,
+    )
+
+    points = POINT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_POINTS_CTES.strip()
+    lots = LOT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_LOTS_CTES.strip()
+    devices = lots + ",\n" + LOT_DEVICE_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_DEVICES_CTES.strip()
+    return {
+        "ingest_points": with_domain(_outcomes("out_points"), points),
+        "ingest_lots": with_domain(_outcomes("out_lots"), lots),
+        "ingest_lot_devices": with_domain(_outcomes("out_devices"), devices),
+        "normalize_state": with_domain(
+            "SELECT submit_seq, estado AS estado_raw, upper(substr(estado, 1, 2)) AS estado "
+            "FROM sub_points",
+            POINT_SUBMISSIONS_SQL,
+        ),
+        "missing_fields": with_domain(
+            "SELECT submit_seq, missing FROM prep_points", points,
+        ),
+    }

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.operators import listings, quality, relational, reports
+from revtrace.functions.scalar import missing_fields, normalize_state
+from revtrace.operators import ingest, listings, quality, relational, reports
+from revtrace.sources import submissions
 from revtrace.sources.faults import with_faults
 from revtrace.sources.testdata import domain_from_testdata
 
@@ -93,6 +95,54 @@ def restrict_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.plan_delete(d, "categoria", d.categoria).blocking
 
 
+def normalize_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State field of the point submissions, raw and normalised."""
+    sub = submissions.point_submissions(spark, sf_dir)
+    return sub.select(
+        "submit_seq",
+        F.col("estado").alias("estado_raw"),
+        normalize_state("estado").alias("estado"),
+    )
+
+
+def missing_fields_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required-field message of every point submission ('' when complete)."""
+    sub = submissions.point_submissions(spark, sf_dir)
+    return sub.select(
+        "submit_seq",
+        missing_fields(ingest.POINTS.required, ingest.POINTS.blank_is_missing).alias(
+            "missing"
+        ),
+    )
+
+
+def ingest_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classify point submissions against the existing points."""
+    d = domain_from_testdata(spark, sf_dir)
+    sub = submissions.point_submissions(spark, sf_dir)
+    return ingest.ingest_points(sub, d.ponto_coleta).outcomes
+
+
+def _lots_result(spark: SparkSession, sf_dir: str):
+    d = domain_from_testdata(spark, sf_dir)
+    sub = submissions.lot_submissions(spark, sf_dir)
+    return d, ingest.ingest_lots(sub, d.lote_coleta, d.ponto_coleta)
+
+
+def ingest_lots_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classify lot submissions (two unique keys, point foreign key)."""
+    return _lots_result(spark, sf_dir)[1].outcomes
+
+
+def ingest_lot_devices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classify device-in-lot submissions after the lot feed of the same run."""
+    d, lots = _lots_result(spark, sf_dir)
+    sub = submissions.lot_device_submissions(spark, sf_dir)
+    return ingest.ingest_lot_devices(
+        sub, d.qtd_produto_lote, d.lote_coleta, d.dispositivo_eletronico, lots.accepted
+    ).outcomes
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "relational_division": _report(reports.relational_division),
@@ -130,4 +180,9 @@ def queries() -> dict[str, QueryFn]:
         "set_null_on_delete": set_null_on_delete,
         "restrict_delete": restrict_delete,
         "transport_unified": _report(quality.transport_unified),
+        "normalize_state": normalize_state_query,
+        "missing_fields": missing_fields_query,
+        "ingest_points": ingest_points_query,
+        "ingest_lots": ingest_lots_query,
+        "ingest_lot_devices": ingest_lot_devices_query,
     }
