@@ -310,18 +310,18 @@ def oracle_sql() -> dict[str, str]:
 # independent DuckDB scan (no shared aggregation with the Spark side).
 
 
-def _faulty_ref(table: str) -> str:
+def _faulty_ref(table: str, faulty: bool = True) -> str:
     from revtrace.sources.faults import FAULTY_TABLES
 
-    return f"{table}_f" if table in FAULTY_TABLES else table
+    return f"{table}_f" if faulty and table in FAULTY_TABLES else table
 
 
-def _check_sql(kind: str) -> str:
+def _check_sql(kind: str, faulty: bool = True) -> str:
     from revtrace.schema import TABLES
 
     parts = []
     for name, t in TABLES.items():
-        ref = _faulty_ref(name)
+        ref = _faulty_ref(name, faulty)
         if kind == "not_null":
             for c in t.columns:
                 if not c.nullable:
@@ -357,7 +357,7 @@ def _check_sql(kind: str) -> str:
                 )
         elif kind == "foreign_key":
             for fk in t.foreign_keys:
-                pref = _faulty_ref(fk.parent)
+                pref = _faulty_ref(fk.parent, faulty)
                 not_null = " AND ".join(f"c.{c} IS NOT NULL" for c in fk.columns)
                 match = " AND ".join(
                     f"p.{p} = c.{c}" for c, p in zip(fk.columns, fk.parent_columns)
@@ -447,9 +447,50 @@ def quality_sql() -> dict[str, str]:
     for k, body in DELETES.items():
         out[k] = with_domain(body, DELETE_CTES[k])
     out["transport_unified"] = with_domain(TRANSPORT_UNIFIED)
+    out["full_reload_report"] = _reload_sql()
     return out
 
 
+def _reload_sql() -> str:
+    from revtrace.schema import TABLES, load_levels, load_order
+
+    levels = load_levels()
+    meta = ", ".join(
+        f"('{t}', {i + 1}, {levels[t]})" for i, t in enumerate(load_order())
+    )
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in TABLES
+    )
+    ctes = ",\n".join(
+        [
+            f"chk_not_null AS ({_check_sql('not_null', False)})",
+            f"chk_too_long AS ({_check_sql('length', False)})",
+            "chk_duplicate_key AS ("
+            f"SELECT table_name, violations FROM ({_check_sql('primary_key', False)}) a "
+            f"UNION ALL SELECT table_name, violations FROM ({_check_sql('unique', False)}) b)",
+            f"chk_foreign_key AS ({_check_sql('foreign_key', False)})",
+            f"meta AS (SELECT * FROM (VALUES {meta}) v(table_name, load_order, level))",
+            f"row_counts AS ({counts})",
+        ]
+    )
+    rules = ["not_null", "too_long", "duplicate_key", "foreign_key"]
+    cols = ",\n".join(
+        f"CAST(COALESCE((SELECT SUM(c.violations) FROM chk_{r} c "
+        f"WHERE c.table_name = m.table_name), 0) AS BIGINT) AS {r}"
+        for r in rules
+    )
+    body = f"""
+SELECT table_name, load_order, level, rows, {", ".join(rules)},
+       ({" AND ".join(f"{r} = 0" for r in rules)}) AS publishable
+FROM (SELECT m.table_name, CAST(m.load_order AS INTEGER) AS load_order,
+             CAST(m.level AS INTEGER) AS level, rc.n_rows AS rows,
+{cols}
+      FROM meta m JOIN row_counts rc ON m.table_name = rc.table_name) x
+ORDER BY load_order
+"""
+    return with_domain(body, ctes)
+
+
 # ------------------------------------------------------------------ ingest
 # Same rules as revtrace.operators.ingest, written as set SQL. First-wins
 # over two unique keys is taken in a single pass here (first in both key

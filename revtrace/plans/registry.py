@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from revtrace.functions.scalar import missing_fields, normalize_state
 from revtrace.operators import ingest, listings, quality, relational, reports
+from revtrace.plans import reload
 from revtrace.sources import submissions
+from revtrace.streaming import feed
 from revtrace.sources.faults import with_faults
 from revtrace.sources.testdata import domain_from_testdata
 
@@ -143,6 +145,32 @@ def ingest_lot_devices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).outcomes
 
 
+def full_reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation report of a full reload of all sixteen tables."""
+    return reload.reload_report(domain_from_testdata(spark, sf_dir))
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the three submission feeds through the streaming ingest.
+
+    The feeds are landed as Parquet under a fresh folder of the shared
+    checkpoint area (points, then lots, then lot devices), drained with an
+    available-now trigger in micro-batches of at most four files, and the
+    outcomes of all batches are returned.
+    """
+    d = domain_from_testdata(spark, sf_dir)
+    paths = feed.FeedPaths.fresh(spark)
+    feed.land(
+        [
+            feed.to_feed("point", submissions.point_submissions(spark, sf_dir)),
+            feed.to_feed("lot", submissions.lot_submissions(spark, sf_dir)),
+            feed.to_feed("device", submissions.lot_device_submissions(spark, sf_dir)),
+        ],
+        paths.landing,
+    )
+    return feed.run_feed(spark, d, paths, max_files_per_trigger=4).drop("batch_id")
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "relational_division": _report(reports.relational_division),
@@ -185,4 +213,6 @@ def queries() -> dict[str, QueryFn]:
         "ingest_points": ingest_points_query,
         "ingest_lots": ingest_lots_query,
         "ingest_lot_devices": ingest_lot_devices_query,
+        "full_reload_report": full_reload_report,
+        "ingest_stream": ingest_stream,
     }
