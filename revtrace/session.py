@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,15 +70,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base}/revtrace-{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, purpose: str):
+    """Write ``df`` once to a fresh shared folder and return it read back.
+
+    Cuts the lineage (a lost executor re-reads the written files instead of
+    recomputing the plan) and, unlike an eager ``checkpoint()``, runs the
+    plan a single time. The folder lives under the cluster's shared
+    checkpoint directory, never on a machine-local disk.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python code can inspect local test output."""
     return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:") or path.startswith("/"):
-        return os.path.exists(local_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)

@@ -78,6 +78,13 @@ def domain_from_testdata(spark: SparkSession, sf_dir: str) -> Domain:
     def shipped_orders() -> DataFrame:
         return t("orders").filter(F.col("o_orderstatus") != "P")
 
+    def max_equals(c: str, value: str) -> Column:
+        # max(c) = value, written with boolean aggregates: their buffers are
+        # fixed-width, so the grouping stays a hash aggregate (a string max
+        # would force a sort-based aggregate over all line items)
+        col = F.col(c)
+        return F.bool_and(col <= F.lit(value)) & F.bool_or(col == F.lit(value))
+
     @cache
     def sorted_groups() -> DataFrame:
         # one sorted lot per (order, line, part, supplier) group of line items
@@ -86,8 +93,8 @@ def domain_from_testdata(spark: SparkSession, sf_dir: str) -> Domain:
         ).agg(
             F.sum(F.col("l_quantity").cast(NUMERIC)).alias("peso"),
             F.max("l_shipdate").alias("ship"),
-            F.max("l_linestatus").alias("linestatus"),
-            F.max("l_returnflag").alias("returnflag"),
+            max_equals("l_linestatus", "F").alias("all_final"),
+            max_equals("l_returnflag", "R").alias("returned"),
         ).withColumn(
             "pin",
             F.concat_ws(
@@ -101,7 +108,7 @@ def domain_from_testdata(spark: SparkSession, sf_dir: str) -> Domain:
     @cache
     def processed_groups() -> DataFrame:
         return sorted_groups().filter(
-            (F.col("returnflag") == "R") & (F.col("peso") >= PROCESS_MIN_WEIGHT)
+            F.col("returned") & (F.col("peso") >= PROCESS_MIN_WEIGHT)
         ).withColumn(
             "tipo",
             F.concat(F.lit("P-"), _str(F.col("l_orderkey")), F.lit("-"), F.col("pin")),
@@ -250,7 +257,7 @@ def domain_from_testdata(spark: SparkSession, sf_dir: str) -> Domain:
             F.col("peso").alias("peso_exato"),
             F.to_date(F.col("ship")).alias("data_triagem"),
             F.when(
-                F.col("linestatus") == "F",
+                F.col("all_final"),
                 F.concat(F.lit("TR-"), _str(F.col("l_suppkey"))),
             ).alias("transporte_tri_reciclagem"),
         )
