@@ -33,3 +33,11 @@ def test_fk_columns_exist():
             TABLES[child].column(c)
         for c in fk.parent_columns:
             TABLES[fk.parent].column(c)
+
+
+def test_jdbc_source_names_follow_ddl_case_folding():
+    from revtrace.sources.jdbc import source_name
+
+    assert source_name("ponto_coleta") == "pontocoleta"
+    assert source_name("capacidade_max") == "capacidademax"
+    assert source_name("pin_lote_tri") == "pinlotetri"
