@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrace.schema import TABLES, ForeignKey, children_of, load_order
+from revtrace.session import materialize
 from revtrace.sources.domain import Domain
 
 CHECK_COLUMNS = ["table_name", "constraint_name", "violations"]
@@ -242,47 +243,62 @@ class DeletePlan:
         return _union(rows)
 
 
-def _referencing(child: DataFrame, doomed_parent: DataFrame, fk: ForeignKey) -> DataFrame:
-    """Child rows whose FK points at a doomed parent row."""
-    keys = doomed_parent.select(
+def _referencing(child: DataFrame, parent_keys: DataFrame, fk: ForeignKey) -> DataFrame:
+    """Child rows whose FK points at one of ``parent_keys`` (parent columns)."""
+    keys = parent_keys.select(
         *[F.col(p).alias(c) for c, p in zip(fk.columns, fk.parent_columns)]
     ).distinct()
     return child.join(keys, list(fk.columns), "left_semi")
 
 
-def plan_delete(d: Domain, table: str, rows: DataFrame) -> DeletePlan:
-    """Plan ``DELETE FROM table`` for ``rows`` (a subset of ``d[table]``).
+def plan_delete(
+    d: Domain, table: str, rows: DataFrame, stage_keys: bool = True
+) -> DeletePlan:
+    """Plan ``DELETE FROM table`` for ``rows`` (matched on the primary key).
 
     Tables are visited in topological order, so every parent's doomed set
     is final before its children are examined. Each doomed set is a set of
     primary keys; children are matched with semi-joins on distinct parent
-    keys.
+    keys. With ``stage_keys`` every doomed key set is written once to the
+    shared checkpoint folder as the walk goes down the FK graph, so a level
+    is computed once instead of once per descendant.
     """
+
+    def keep(keys: DataFrame) -> DataFrame:
+        return materialize(keys, "delete-keys") if stage_keys else keys
+
+    def referenced(parent: str, fk: ForeignKey) -> DataFrame:
+        # doomed parent rows, reduced to the columns the FK references
+        ppk = list(TABLES[parent].primary_key)
+        if set(fk.parent_columns) <= set(ppk):
+            return doomed[parent]
+        return d[parent].join(doomed[parent], ppk, "left_semi")
+
     order = load_order()
-    start = order.index(table)
     pk = list(TABLES[table].primary_key)
-    full_rows: dict[str, DataFrame] = {table: d[table].join(rows.select(*pk).distinct(), pk, "left_semi")}
-    for name in order[start + 1 :]:
-        hits = []
-        for fk in TABLES[name].foreign_keys:
-            if fk.on_delete == "cascade" and fk.parent in full_rows:
-                hits.append(_referencing(d[name], full_rows[fk.parent], fk))
+    doomed: dict[str, DataFrame] = {
+        table: keep(
+            d[table].join(rows.select(*pk).distinct(), pk, "left_semi").select(*pk).distinct()
+        )
+    }
+    for name in order[order.index(table) + 1 :]:
+        child_pk = list(TABLES[name].primary_key)
+        hits = [
+            _referencing(d[name], referenced(fk.parent, fk), fk).select(*child_pk)
+            for fk in TABLES[name].foreign_keys
+            if fk.on_delete == "cascade" and fk.parent in doomed
+        ]
         if hits:
-            child_pk = list(TABLES[name].primary_key)
-            keys = _union([h.select(*child_pk) for h in hits]).distinct()
-            full_rows[name] = d[name].join(keys, child_pk, "left_semi")
+            doomed[name] = keep(_union(hits).distinct())
 
-    doomed = {
-        n: df.select(*TABLES[n].primary_key) for n, df in full_rows.items()
-    }
     nulled: dict[tuple[str, str], DataFrame] = {}
     blocking = []
-    for parent, parent_rows in full_rows.items():
+    for parent in list(doomed):
         for child, fk in children_of(parent):
             if fk.on_delete == "cascade":
                 continue
             child_pk = list(TABLES[child].primary_key)
-            refs = _referencing(d[child], parent_rows, fk)
+            refs = _referencing(d[child], referenced(parent, fk), fk)
             if child in doomed:
                 refs = refs.join(doomed[child], child_pk, "left_anti")
             if fk.on_delete == "set_null":
@@ -300,7 +316,9 @@ def plan_delete(d: Domain, table: str, rows: DataFrame) -> DeletePlan:
         blocked = _union(blocking).filter(F.col("referencing_rows") > 0)
     else:
         blocked = d.spark.createDataFrame(
-            [], "table_name string, constraint_name string, parent_table string, referencing_rows long"
+            [],
+            "table_name string, constraint_name string, parent_table string, "
+            "referencing_rows long",
         )
     return DeletePlan(d, doomed, nulled, blocked)
 
