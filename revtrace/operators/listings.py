@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 from revtrace.sources.domain import Domain
 
 
-def _asc(*cols: str):
-    return [F.col(c).asc_nulls_last() for c in cols]
-
-
-def list_collection_points(d: Domain) -> DataFrame:
+def _asc(*cols: str, collation: str | None = None):
+    """Ascending, NULLs last. Text sorts bytewise unless a collation is
+    given (e.g. ``"UNICODE"`` puts accented letters next to their base)."""
+    out = []
+    for c in cols:
+        col = F.col(c)
+        if collation is not None:
+            col = F.collate(col, collation)
+        out.append(col.asc_nulls_last())
+    return out
+
+
+def list_collection_points(d: Domain, collation: str | None = None) -> DataFrame:
     return d.ponto_coleta.select("rua", "cidade", "cep", "estado").orderBy(
-        *_asc("cidade", "rua", "cep", "estado")
+        *_asc("cidade", "rua", "cep", "estado", collation=collation)
     )
 
 
-def list_devices(d: Domain) -> DataFrame:
+def list_devices(d: Domain, collation: str | None = None) -> DataFrame:
     return d.dispositivo_eletronico.select("nome", "peso_medio", "categoria").orderBy(
-        *_asc("nome")
+        *_asc("nome", collation=collation)
     )
 
 
@@ -35,24 +43,24 @@ def list_lots(d: Domain) -> DataFrame:
     )
 
 
-def list_materials(d: Domain) -> DataFrame:
-    return d.material.select("nome", "tipo_material").orderBy(*_asc("nome"))
+def list_materials(d: Domain, collation: str | None = None) -> DataFrame:
+    return d.material.select("nome", "tipo_material").orderBy(*_asc("nome", collation=collation))
 
 
-def list_sorting_centres(d: Domain) -> DataFrame:
+def list_sorting_centres(d: Domain, collation: str | None = None) -> DataFrame:
     return d.centro_triagem.select("cnpj", "nome", "cidade").orderBy(
-        *_asc("nome", "cnpj")
+        *_asc("nome", "cnpj", collation=collation)
     )
 
 
-def list_recycling_centres(d: Domain) -> DataFrame:
+def list_recycling_centres(d: Domain, collation: str | None = None) -> DataFrame:
     return d.centro_reciclagem.select(
         "cnpj", "nome", "cidade", "licenca_ambiental"
-    ).orderBy(*_asc("nome", "cnpj"))
+    ).orderBy(*_asc("nome", "cnpj", collation=collation))
 
 
-def list_carriers(d: Domain) -> DataFrame:
-    return d.transportadora.select("cnpj", "nome").orderBy(*_asc("nome", "cnpj"))
+def list_carriers(d: Domain, collation: str | None = None) -> DataFrame:
+    return d.transportadora.select("cnpj", "nome").orderBy(*_asc("nome", "cnpj", collation=collation))
 
 
 def option_labels(d: Domain) -> DataFrame:

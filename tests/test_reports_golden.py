@@ -65,3 +65,31 @@ def test_option_labels(seeds):
     assert labels[("lot", "1")] == "#1 — Sao Carlos/SP (2026-05-08)"
     assert labels[("device", "Geladeira 2 Portas")] == "Geladeira 2 Portas (Linha Branca, 60.00 kg)"
     assert labels[("material", "Litio")] == "Litio — Critico"
+
+
+def test_listing_collation(spark):
+    from revtrace.sources.fixtures import SEED_ROWS, seed_domain
+
+    mats = SEED_ROWS["material"] + [("Épsilon", "Comum"), ("Zinco", "Comum")]
+    d = seed_domain(spark, {"material": mats})
+    binary = [r[0] for r in rows(listings.list_materials(d))]
+    unicode_ = [r[0] for r in rows(listings.list_materials(d, collation="UNICODE"))]
+    assert binary[-1] == "Épsilon"  # bytewise: after 'Z'
+    assert unicode_.index("Épsilon") < unicode_.index("Litio")
+
+
+def test_append_accepted_reports_affected_rows(spark):
+    from revtrace.operators import ingest
+    from revtrace.session import shared_dir
+    from revtrace.sources.fixtures import seed_domain
+    from revtrace.sources.store import read_table
+
+    d = seed_domain(spark)
+    sub = spark.createDataFrame(
+        [(1, "Rua A", "X", "1", "sp", "1"), (2, "Rua B", "X", "2", "sp", "x")],
+        "submit_seq long, rua string, cidade string, cep string, estado string, capacidade_max string",
+    )
+    res = ingest.ingest_points(sub, d.ponto_coleta)
+    root = shared_dir(spark, "append-test")
+    assert ingest.append_accepted(res, root, "ponto_coleta") == 1
+    assert read_table(spark, root, "ponto_coleta").count() == 1
