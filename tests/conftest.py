@@ -23,5 +23,27 @@ def seeds(spark):
     return seed_domain(spark)
 
 
+FORCED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+}
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    old = {k: spark.conf.get(k, None) for k in FORCED}
+    for k, v in FORCED.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
 def rows(df):
     return [tuple(r) for r in df.collect()]
