@@ -688,7 +688,13 @@ def ingest_sql() -> dict[str, str]:
     points = POINT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_POINTS_CTES.strip()
     lots = LOT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_LOTS_CTES.strip()
     devices = lots + ",\n" + LOT_DEVICE_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_DEVICES_CTES.strip()
+    everything = points + ",\n" + devices
+    stream_body = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, * FROM ({_outcomes(cte)}) o_{kind}"
+        for kind, cte in (("point", "out_points"), ("lot", "out_lots"), ("device", "out_devices"))
+    )
     return {
+        "ingest_stream": with_domain(stream_body, everything),
         "ingest_points": with_domain(_outcomes("out_points"), points),
         "ingest_lots": with_domain(_outcomes("out_lots"), lots),
         "ingest_lot_devices": with_domain(_outcomes("out_devices"), devices),

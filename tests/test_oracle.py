@@ -15,10 +15,8 @@ def con():
     return duckdb_connection(SMALL_SF)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"ingest_stream"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_an_oracle():
+    assert set(oracle_sql()) == set(queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
