@@ -36,3 +36,53 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
     conform(df, table).write.mode(mode).parquet(table_path(root, table))
+
+
+# Fixed layout choice: the lot-keyed tables and the column holding the lot id.
+# Bucketing all four by lot id into the same number of buckets makes the joins
+# and aggregations on the lot id (lots without sorting, lineage, lot FKs,
+# cascades from a lot) run without shuffling either side.
+LOT_KEYED = {
+    "lote_coleta": "id_lote",
+    "lote_triado": "lote_coleta",
+    "processo_reciclagem": "lote_coleta",
+    "qtd_produto_lote": "lote",
+}
+
+
+def write_domain(
+    d: Domain,
+    root: str,
+    lot_buckets: int | None = None,
+    database: str = "revtrace",
+) -> Domain:
+    """Write all sixteen tables under ``root`` and return them read back.
+
+    With ``lot_buckets`` the lot-keyed tables are written as bucketed
+    catalog tables (``bucketBy(lot_buckets, lot id)``, data under ``root``)
+    so later joins on the lot id are co-partitioned; the other tables are
+    plain Parquet.
+    """
+    spark = d.spark
+    if lot_buckets:
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_catalog'"
+        )
+    frames = {}
+    for t in TABLE_NAMES:
+        df = conform(d[t], t)
+        if lot_buckets and t in LOT_KEYED:
+            key = LOT_KEYED[t]
+            name = f"{database}.{t}"
+            (
+                df.write.mode("overwrite")
+                .bucketBy(lot_buckets, key)
+                .sortBy(key)
+                .option("path", table_path(root, t))
+                .saveAsTable(name)
+            )
+            frames[t] = spark.table(name)
+        else:
+            df.write.mode("overwrite").parquet(table_path(root, t))
+            frames[t] = read_table(spark, root, t)
+    return Domain.of(spark, frames)

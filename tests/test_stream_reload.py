@@ -104,3 +104,38 @@ def test_reload_report_flags_natural_key(spark):
     assert rep["lote_coleta"].duplicate_key >= 1
     assert not rep["lote_coleta"].publishable
     assert rep["categoria"].publishable
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_bucketed_lot_tables_remove_shuffles(spark):
+    from revtrace.operators import reports
+    from revtrace.sources.store import write_domain
+
+    d = domain_from_testdata(spark, SMALL_SF)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = write_domain(d, shared_dir(spark, "plain"))
+        bucketed = write_domain(d, shared_dir(spark, "bucketed"), lot_buckets=8)
+        for report in (reports.lots_without_sorting,):
+            a, b = report(plain), report(bucketed)
+            assert sorted(rows(a)) == sorted(rows(b))
+            assert _exchanges(b) < _exchanges(a)
+        lots_plain = plain.lote_coleta.join(
+            plain.lote_triado.withColumnRenamed("lote_coleta", "id_lote").select("id_lote").distinct(),
+            "id_lote",
+            "left_anti",
+        )
+        lots_b = bucketed.lote_coleta.join(
+            bucketed.lote_triado.withColumnRenamed("lote_coleta", "id_lote").select("id_lote").distinct(),
+            "id_lote",
+            "left_anti",
+        )
+        assert _exchanges(lots_b) == 0 < _exchanges(lots_plain)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
