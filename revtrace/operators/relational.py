@@ -50,12 +50,14 @@ def join_left_outer(d: Domain) -> DataFrame:
 
 
 def not_exists_one_level(d: Domain) -> DataFrame:
-    """Devices that no lot ever contained (correlated NOT EXISTS)."""
-    used = d.qtd_produto_lote.select(
-        F.col("dispositivo_eletronico").alias("nome")
-    ).distinct()
-    return d.dispositivo_eletronico.select("nome", "categoria").join(
-        used, "nome", "left_anti"
+    """Lots that never produced a sorted lot, in stock or not (NOT EXISTS).
+
+    The sorted lots are reduced to distinct lot ids before the anti-join, so
+    a lot split into many sorted lots costs one row per map task.
+    """
+    sorted_lots = d.lote_triado.select(F.col("lote_coleta").alias("id_lote")).distinct()
+    return d.lote_coleta.select("id_lote", "cidade", "estado").join(
+        sorted_lots, "id_lote", "left_anti"
     )
 
 

@@ -8,7 +8,7 @@ over a join chain, ROUND(AVG(date - date))), which is the point of the
 cross-check: our Spark plans are rewritten forms of them.
 
 Decimal results are cast to DOUBLE here and in the Spark registry, since the
-two engines widen sums differently.
+two engines widen sums differently; dates are compared as ISO text.
 """
 
 from __future__ import annotations
@@ -236,9 +236,8 @@ SELECT lc.id_lote, lt.pin_lote_tri
 FROM lote_coleta lc LEFT JOIN lote_triado lt ON lc.id_lote = lt.lote_coleta
 """,
     "not_exists_one_level": """
-SELECT de.nome, de.categoria FROM dispositivo_eletronico de
-WHERE NOT EXISTS (
-  SELECT 1 FROM qtd_produto_lote q WHERE q.dispositivo_eletronico = de.nome)
+SELECT lc.id_lote, lc.cidade, lc.estado FROM lote_coleta lc
+WHERE NOT EXISTS (SELECT 1 FROM lote_triado lt WHERE lt.lote_coleta = lc.id_lote)
 """,
     "subtype_semi_filter": """
 SELECT t.cod_rastreio, t.transportadora, t.data_envio, t.data_chegada
@@ -287,7 +286,30 @@ volume_por_centro AS (
 """
 
 
+# Date columns of the compared outputs, rendered as ISO text on both sides.
+DATE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "lots_without_sorting": ("data_coleta", "chegada_ao_centro"),
+    "list_lots": ("data_coleta",),
+    "join_inner_composite2": ("data_processamento",),
+    "subtype_semi_filter": ("data_envio", "data_chegada"),
+    "transport_unified": ("data_envio", "data_chegada"),
+}
+
+
+def _iso_dates(key: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(key)
+    if not cols:
+        return sql
+    replace = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({replace}) FROM (\n{sql}\n) q"
+
+
 def oracle_sql() -> dict[str, str]:
+    out = _oracle_sql()
+    return {k: _iso_dates(k, v) for k, v in out.items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     volume_users = {"centres_above_average", "sum_by_three_keys", "avg_of_group_sums"}
     for key, body in {**REPORTS, **LISTINGS, **OPERATORS}.items():

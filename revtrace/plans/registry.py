@@ -2,8 +2,9 @@
 
 Every entry reads the test tables under ``sf_dir`` through the domain
 mapping, runs the library operator on the whole tables and returns a lazy
-DataFrame. Decimal columns are cast to double for the cross-engine check
-(:mod:`revtrace.plans.oracle` does the same on the DuckDB side).
+DataFrame. For the cross-engine check, decimal columns are cast to double
+and dates to ISO text (:mod:`revtrace.plans.oracle` does the same on the
+DuckDB side).
 """
 
 from __future__ import annotations
@@ -29,11 +30,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def for_compare(df: DataFrame) -> DataFrame:
-    """Cast decimal columns to double; leave everything else unchanged."""
+    """Cross-engine representation: decimals as double, dates as ISO text.
+
+    The two engines widen decimals differently and hand dates to Python as
+    different objects; these two casts make equal values compare equal.
+    Everything else is unchanged.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DecimalType):
             cols.append(df[f.name].cast("double").alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.date_format(df[f.name], "yyyy-MM-dd").alias(f.name))
         else:
             cols.append(df[f.name])
     return df.select(*cols)

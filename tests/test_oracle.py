@@ -31,3 +31,12 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns == ["cnpj", "nome", "licenca_ambiental", "volume_total"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("key", sorted(k for k in queries() if k != "ingest_stream"))
+def test_outputs_use_engine_neutral_types(spark, key):
+    from pyspark.sql import types as T
+
+    df = queries()[key](spark, SMALL_SF)
+    for f in df.schema.fields:
+        assert not isinstance(f.dataType, (T.DecimalType, T.DateType, T.TimestampType)), (key, f)
