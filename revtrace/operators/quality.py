@@ -31,9 +31,6 @@ from revtrace.schema import TABLES, ForeignKey, children_of, load_order
 from revtrace.session import materialize
 from revtrace.sources.domain import Domain
 
-CHECK_COLUMNS = ["table_name", "constraint_name", "violations"]
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -9,10 +9,10 @@ Shape of the plans, written for tables far larger than memory:
 
 * every join is an equi-join on declared keys; no cross joins, no
   all-pairs expansion,
-* existence tests are ``left_semi`` / ``left_anti`` joins, and their
-  right sides are reduced to distinct keys first, so a key that holds a
-  large share of the rows is collapsed by the map-side partial aggregate
-  before anything is shuffled,
+* existence tests are ``left_semi`` / ``left_anti`` joins; where the
+  right side can repeat a key (sorted lots per lot, lots per point) it is
+  reduced to distinct keys first, so a key that holds a large share of the
+  rows is collapsed by the map-side partial aggregate before the shuffle,
 * sums are pre-aggregated on the join key before joining (exact for SUM),
 * the small sides are not hinted: adaptive execution broadcasts a side only
   after measuring it below ``spark.sql.adaptive.autoBroadcastJoinThreshold``

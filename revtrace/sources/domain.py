@@ -47,6 +47,19 @@ class Domain:
     def names(self) -> Iterable[str]:
         return TABLE_NAMES
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every table as a temporary view for ``spark.sql``.
+
+        Views are named after the catalogue (``ponto_coleta``,
+        ``lote_triado``...), optionally prefixed. Returns the view names.
+        """
+        names = []
+        for t in TABLE_NAMES:
+            name = f"{prefix}{t}"
+            self[t].createOrReplaceTempView(name)
+            names.append(name)
+        return names
+
     def replace(self, **frames: DataFrame) -> "Domain":
         """A copy of this domain with some tables swapped out."""
         builders = dict(self._builders)

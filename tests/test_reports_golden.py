@@ -93,3 +93,20 @@ def test_append_accepted_reports_affected_rows(spark):
     root = shared_dir(spark, "append-test")
     assert ingest.append_accepted(res, root, "ponto_coleta") == 1
     assert read_table(spark, root, "ponto_coleta").count() == 1
+
+
+def test_register_views_for_sql(spark, seeds):
+    seeds.register_views(prefix="seed_")
+    out = spark.sql(
+        """
+        SELECT tr.cnpj, round(avg(datediff(t.data_chegada, t.data_envio)), 2) AS media
+        FROM seed_transportadora tr
+        JOIN seed_transporte t ON tr.cnpj = t.transportadora
+        WHERE EXISTS (SELECT 1 FROM seed_transporte_coleta_tri c WHERE c.cod_rastreio = t.cod_rastreio)
+        GROUP BY tr.cnpj ORDER BY tr.cnpj
+        """
+    )
+    assert [(r[0], float(r[1])) for r in out.collect()] == [
+        ("55555555000155", 0.0),
+        ("66666666000166", 1.0),
+    ]
