@@ -61,3 +61,17 @@ def test_skewed_reports_match_brute_force(no_broadcast):
 
     # R1: still exactly the seed's complete centre
     assert [r[0] for r in rows(reports.relational_division(d))] == ["33333333000133"]
+
+
+def test_hot_key_join_is_split_and_exact(no_broadcast):
+    """Two thirds of the lots share one transport: AQE splits that key."""
+    from revtrace.operators import relational
+
+    spark = no_broadcast
+    d, lots, *_ = _skewed(spark)
+    tct = {c for c, _ in SEED_ROWS["transporte_coleta_tri"]}
+    expected = sum(1 for r in lots if r[6] in tct)
+    df = relational.join_inner_single_key(d)
+    assert len(df.collect()) == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
