@@ -2,13 +2,15 @@
 
 The source job drops the database and reloads every table in one
 transaction; any violated constraint rolls the whole load back. Here the
-same all-or-nothing rule is a validation report computed first (one lazy
-DataFrame, one row per table) and a publish step that writes the tables in
-load order only when every count is zero.
+same all-or-nothing rule is: write every table once into a new version
+folder (in load order), validate the written copy (one row per table), and
+publish by switching a one-row ``_current`` marker only when every count
+is zero.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -113,17 +115,21 @@ def reload_report(d: Domain, staged: bool = True) -> DataFrame:
     )
 
 
-def full_reload(
-    d: Domain, target_root: str, staging_root: str | None = None
-) -> DataFrame:
-    """Validate, then write every table to ``target_root/<table>`` in load order.
+def full_reload(d: Domain, target_root: str) -> DataFrame:
+    """Validate all tables, then publish them as the new current version.
 
-    Raises :class:`ReloadRefused` (writing nothing) when any table has a
-    violation. Returns the report. The report has one row per table, so
-    collecting it is bounded by the catalogue, not the data.
+    Every table is written once, into ``target_root/_versions/<version>``,
+    and validated there. Only if every count is zero is the one-row marker
+    ``target_root/_current`` switched to that version; readers
+    (:func:`read_published`) resolve the marker, so they see the previous
+    version or the new one, never a mix. A refused load raises
+    :class:`ReloadRefused` and leaves the marker untouched. The report has
+    one row per table, so collecting it is bounded by the catalogue.
     """
-    d = stage(d, staging_root)
-    report = reload_report(d, staged=False)
+    spark = d.spark
+    version = uuid.uuid4().hex
+    staged = stage(d, f"{target_root.rstrip('/')}/_versions/{version}")
+    report = reload_report(staged, staged=False)
     rows = report.collect()
     bad = [r for r in rows if not r.publishable]
     if bad:
@@ -134,6 +140,13 @@ def full_reload(
                 for r in bad
             )
         )
-    for r in sorted(rows, key=lambda r: r.load_order):
-        write_table(d[r.table_name], target_root, r.table_name)
+    spark.createDataFrame([(version,)], "version string").write.mode("overwrite").text(
+        f"{target_root.rstrip('/')}/_current"
+    )
     return report
+
+
+def read_published(spark, target_root: str) -> Domain:
+    """The domain as of the last successful :func:`full_reload`."""
+    version = spark.read.text(f"{target_root.rstrip('/')}/_current").first()[0]
+    return read_domain(spark, f"{target_root.rstrip('/')}/_versions/{version}")

@@ -7,7 +7,6 @@ from revtrace.plans import reload
 from revtrace.session import shared_dir
 from revtrace.sources import submissions
 from revtrace.sources.fixtures import seed_domain
-from revtrace.sources.store import read_domain
 from revtrace.sources.testdata import domain_from_testdata
 from revtrace.streaming import feed
 
@@ -80,7 +79,7 @@ def test_full_reload_publishes_clean_seeds(spark):
     target = shared_dir(spark, "reload-test")
     report = reload.full_reload(seed_domain(spark), target)
     assert all(r.publishable for r in report.collect())
-    back = read_domain(spark, target)
+    back = reload.read_published(spark, target)
     assert back.material.count() == 6
     assert back.lote_triado.count() == 3
 
@@ -96,7 +95,7 @@ def test_full_reload_refuses_violations(spark):
 
     from revtrace.session import local_path
 
-    assert not os.path.exists(local_path(f"{target}/material"))
+    assert not os.path.exists(local_path(f"{target}/_current"))
 
 
 def test_reload_report_flags_natural_key(spark):
