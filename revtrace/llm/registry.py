@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import exact_dedup
+from revtrace.llm import bpe, exact_dedup, near_dup
 from revtrace.llm.common import read_table
 
 
@@ -14,8 +15,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = read_table(spark, sf_dir, "documents")
+    return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep_ids=False)
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    found = [op1_exact_dedup, op6_byte_bpe, op9_minhash_near_dedup]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
