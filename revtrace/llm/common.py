@@ -12,9 +12,11 @@ their names) never clash.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import revtrace.llm
 from revtrace.session import ensure_checkpoint_dir, materialize
 
 __all__ = [
@@ -47,7 +49,12 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep the Arrow batches handed to Python small, so long texts fit in memory."""
+    """Keep the Arrow batches handed to Python small, so long texts fit in memory.
+
+    The functions that run on executors are shipped with the tasks, so the
+    package need not be installed there.
+    """
+    cloudpickle.register_pickle_by_value(revtrace.llm)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, exact_dedup, near_dup
+from revtrace.llm import bpe, decontaminate, exact_dedup, langid, near_dup
 from revtrace.llm.common import read_table
 
 
@@ -15,18 +15,29 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminate(docs, bench).drop("_h")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score", "agreement")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op6_byte_bpe, op9_minhash_near_dedup]
+    found = [op1_exact_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
