@@ -283,3 +283,12 @@ def decontaminate(
         F.coalesce("items", F.array().cast(T.ArrayType(bench.schema[item_col].dataType))).alias("items"),
         "_h",
     )
+
+
+def keep_clean(df: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, that are not contaminated."""
+    found = coverage(df, bench, id_col, text_col, "item_id", "text").where(F.col("_share") >= THRESHOLD)
+    hits = materialize(found.select(F.col("_id").alias("_did"), F.col("_h").alias("_dh")).distinct(), "decontaminate-hits")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    hit = F.col(f"`{id_col}`").eqNullSafe(F.col("_did")) & (F.xxhash64(text) == F.col("_dh"))
+    return df.join(hits, hit, "left_anti")

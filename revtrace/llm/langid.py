@@ -253,44 +253,62 @@ def fit(
     return train(xs, ys) if xs else None
 
 
+def _label(model: Model | None, column: int):
+    """A function giving each batch with lang_pred, score and agreement of its text column (empty: no letters)."""
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+        reader = Reader(model) if model is not None else None
+        for batch in batches:
+            n = batch.num_rows
+            offsets, data = buffers(batch.column(column))
+            if reader is None or not n:
+                yield batch, np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n)
+                continue
+            start = int(offsets[0])
+            sums, votes = reader.read(data[start : int(offsets[-1])], offsets - start)
+            size = np.diff(offsets)
+            best, row = sums.argmax(1), np.arange(n)
+            pred = np.where(size > 0, np.array(reader.model.langs, object)[best], UNKNOWN)
+            score = np.clip(sums[row, best] / np.maximum(size, 1), 0, 1)
+            yield batch, pred, score, votes[row, best] / np.maximum(size, 1)
+
+    return label
+
+
+def _lettered(text_col: str) -> Column:
+    """The text, empty if it is null or has no letter."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return F.when(text.rlike(r"\p{L}"), text).otherwise("")
+
+
 def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score, agreement (share of positions that carry the document's label)."""
-    spark = df.sparkSession
-    arrow_rows(spark)
+    arrow_rows(df.sparkSession)
     schema = T.StructType(
         [
             T.StructField(id_col, df.schema[id_col].dataType),
-            T.StructField("_h", T.LongType()),
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("agreement", T.DoubleType()),
         ]
     )
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    letters = text.rlike(r"\p{L}")
-    rows = df.select(
-        F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_h"), F.when(letters, text).otherwise("").alias("_text")
-    )
+    names, label = schema.names, _label(model, 1)
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model) if model is not None else None
-        for batch in batches:
-            n = batch.num_rows
-            offsets, data = buffers(batch.column(2))
-            if reader is None or not n:
-                pred, score, agree = [UNKNOWN] * n, [0.0] * n, [0.0] * n
-            else:
-                sums, votes = reader.read(data[: offsets[-1]], offsets)
-                size = np.diff(offsets)
-                best = sums.argmax(1)
-                row = np.arange(n)
-                names = np.array(reader.model.langs, object)
-                pred = np.where(size > 0, names[best], UNKNOWN)
-                score = np.clip(sums[row, best] / np.maximum(size, 1), 0, 1)
-                agree = votes[row, best] / np.maximum(size, 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(agree, pa.float64())],
-                schema.names,
-            )
-
-    return rows.mapInArrow(label, schema)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, pred, score, agree in label(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score), pa.array(agree)], names)
+
+    return df.select(F.col(f"`{id_col}`").alias("_id"), _lettered(text_col).alias("_text")).mapInArrow(rows, schema)
+
+
+def keep_known(df: DataFrame, model: Model | None, min_score: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, whose language is known with at least ``min_score``."""
+    arrow_rows(df.sparkSession)
+    width, label = len(df.columns), _label(model, len(df.columns))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, pred, score, _ in label(batches):
+            kept = batch.filter(pa.array((pred != UNKNOWN) & (score >= min_score)))
+            yield kept.select(range(width))
+
+    return df.select("*", _lettered(text_col).alias("_lettered")).mapInArrow(rows, df.schema)

@@ -228,21 +228,38 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+    """One row per input row: id, n_shingles, component_id, kept (the id is the component's), stays, _h.
+
+    ``stays`` marks exactly one document per component, also where ids are null or
+    stand for several texts; a document with an empty set always stays.
+    """
     docs = describe(df, id_col, text_col)
     members = bucket_members(docs)
     sets = full_sets(df, docs, members, id_col, text_col)
     labels = materialize(components(links(members, sets)), "near-dup-labels")
-    least = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min("_id").alias("_min"))
+    first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
+    least = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(first).alias("_first"))
     least = least.join(labels, "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
     least = materialize(least, "near-dup-classes")
-    smallest = least.groupBy("_label").agg(F.min("_min").alias("_cid"))
-    classes = least.join(smallest, "_label").select("_set", "_cid")
+    smallest = least.groupBy("_label").agg(F.min("_first").alias("_first"))
+    classes = least.drop("_first").join(smallest, "_label").select("_set", "_first")
     out = docs.drop("_bands").join(classes, "_set", "left")
-    cid = F.when(F.col("_set").isNull(), F.col("_id")).otherwise(F.col("_cid"))
+    alone = F.col("_set").isNull()
+    cid = F.when(alone, F.col("_id")).otherwise(F.col("_first._id"))
     return out.select(
         F.col("_id").alias(id_col),
         F.col("_n").alias("n_shingles"),
         cid.alias("component_id"),
         F.col("_id").eqNullSafe(cid).alias("kept"),
+        (alone | (F.col("_id").eqNullSafe(cid) & (F.col("_h") == F.col("_first._h")))).alias("stays"),
+        "_h",
     )
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, of the one document of each component that stays."""
+    go = near_dedup(df, id_col, text_col).where("NOT stays").select(F.col(id_col).alias("_gid"), F.col("_h").alias("_gh"))
+    go = materialize(go.distinct(), "near-dup-go")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    gone = F.col(f"`{id_col}`").eqNullSafe(F.col("_gid")) & (F.xxhash64(text) == F.col("_gh"))
+    return df.join(go, gone, "left_anti")

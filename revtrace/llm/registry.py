@@ -33,7 +33,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_dedup(read_table(spark, sf_dir, "documents"))
+    return near_dup.near_dedup(read_table(spark, sf_dir, "documents")).drop("_h")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
