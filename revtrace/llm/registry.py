@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, decontaminate, exact_dedup, langid, near_dup
+from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets
 from revtrace.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminate(docs, bench).drop("_h")
@@ -36,10 +40,14 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dedup(read_table(spark, sf_dir, "documents")).drop("_h")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup]
+    found = [op1_exact_dedup, op2_secret_scan, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup, op10_html_extraction]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_secret_scan": secrets.ORACLE_SQL}
