@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets
+from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets, substring_dedup
 from revtrace.llm.common import read_table
 
 
@@ -19,6 +19,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminate(docs, bench).drop("_h")
@@ -45,7 +49,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_secret_scan, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup, op10_html_extraction]
+    found = [op1_exact_dedup, op2_secret_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup, op10_html_extraction]
     return {f.__name__: f for f in found}
 
 
