@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets, substring_dedup
+from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets, substring_dedup, suffix_dedup
 from revtrace.llm.common import read_table
 
 
@@ -40,6 +40,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score", "agreement")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dedup(read_table(spark, sf_dir, "documents")).drop("_h")
 
@@ -49,7 +53,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_secret_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op9_minhash_near_dedup, op10_html_extraction]
+    found = [op1_exact_dedup, op2_secret_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op8_suffix_array_dedup, op9_minhash_near_dedup, op10_html_extraction]
     return {f.__name__: f for f in found}
 
 

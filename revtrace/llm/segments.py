@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from revtrace.llm.words import PIECE, inverse, mix, pieces, powers
 
 BITS = 1 << 26
-HOT = 2000
+HOT = 50_000
 #: A segment has at most so many windows (any cut is right, windows are independent).
 RUN = 512
 
