@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, near_dup, secrets, substring_dedup, suffix_dedup
+from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, license_scan, near_dup, secrets, substring_dedup, suffix_dedup
 from revtrace.llm.common import read_table
 
 
@@ -19,6 +19,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"), keep_text=False)
 
@@ -53,7 +57,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_secret_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op8_suffix_array_dedup, op9_minhash_near_dedup, op10_html_extraction]
+    found = [op1_exact_dedup, op2_secret_scan, op3_license_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op8_suffix_array_dedup, op9_minhash_near_dedup, op10_html_extraction]
     return {f.__name__: f for f in found}
 
 

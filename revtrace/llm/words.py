@@ -18,6 +18,9 @@ import pyarrow as pa
 PIECE = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything in ASCII but letters and digits.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -97,13 +100,16 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[Piece]:
         i = j
 
 
-def spans(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """starts, ends (byte positions) of all words, and for each document its first word (one more than documents)."""
+def spans(piece: Piece, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """starts, ends (byte positions) of all words, and for each document its first word (one more than documents).
+
+    ``space`` tells which bytes part words.
+    """
     data, offsets = piece.data, piece.offsets
     if not len(data):
         empty = np.empty(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[data]
+    solid = ~space[data]
     edge = np.empty(len(data) + 1, bool)
     edge[0] = edge[-1] = True
     np.not_equal(solid[1:], solid[:-1], out=edge[1:-1])
