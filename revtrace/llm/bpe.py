@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.common import arrow_rows
+from revtrace.llm.common import arrow_rows, text_of
 
 CACHE_WORDS = 400_000
 
@@ -263,6 +263,5 @@ def encode_documents(
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
                 done += len(group)
 
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = df.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text"))
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), text_of(text_col).alias("_text"))
     return rows.mapInArrow(encode, T.StructType(fields))

@@ -22,11 +22,13 @@ from revtrace.session import ensure_checkpoint_dir, materialize
 __all__ = [
     "WORD",
     "arrow_rows",
+    "carried",
     "ensure_checkpoint_dir",
     "keyed",
     "lower_ascii",
     "materialize",
     "read_table",
+    "text_of",
 ]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,10 +46,21 @@ def lower_ascii(col: Column) -> Column:
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _h, _text): the row's id, a hash of its text, and the text, null as ''."""
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    text = text_of(text_col)
     return df.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
 
 
+def carried(df: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``_row`` beside the given ones; unpack with ``select("_row.*")``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, *[c.alias(name) for name, c in extra.items()])
+
+
+def text_of(text_col: str) -> Column:
+    """The text, null as ''."""
+    return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+
+
 def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
     """Keep the Arrow batches handed to Python small, so long texts fit in memory.
 

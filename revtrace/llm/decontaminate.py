@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.common import arrow_rows, keyed, materialize
+from revtrace.llm.common import arrow_rows, carried, keyed, materialize, text_of
 from revtrace.llm.words import hashes, inverse, pieces, powers, spans, windows
 
 WIDTH = 5
@@ -131,7 +131,7 @@ def _benchmark(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return materialize(rows.dropDuplicates(["_item", "_ih"]), "decontaminate-items")
 
 
-def _bitmap(items: DataFrame) -> np.ndarray:
+def _bitmap(items: DataFrame) -> bytes:
     """The seeds' bitmap: at most BITS / 64 rows come to the driver."""
     bit = items.select(F.explode("_seeds").alias("_s")).select(F.pmod("_s", F.lit(BITS)).alias("_b"))
     slot = bit.groupBy(F.shiftright("_b", 6).alias("_w")).agg(
@@ -140,11 +140,7 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     out = np.zeros(BITS // 64, np.int64)
     for r in slot.toLocalIterator():
         out[r["_w"]] = r["_m"]
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
-
-
-def _pack(bits: np.ndarray) -> bytes:
-    return np.packbits(bits, bitorder="little").tobytes()
+    return out.tobytes()
 
 
 def _stretches(docs: DataFrame, id_type, packed: bytes, widths: list[int]) -> DataFrame:
@@ -242,7 +238,7 @@ def coverage(df: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_c
     arrow_rows(spark)
     items = _benchmark(bench, item_col, item_text)
     widths = [r[0] for r in items.where("size(_words) > 0").select(F.least(F.size("_words"), F.lit(WIDTH))).distinct().collect()]
-    runs = _stretches(keyed(df, id_col, text_col), df.schema[id_col].dataType, _pack(_bitmap(items)), sorted(widths) or [WIDTH])
+    runs = _stretches(keyed(df, id_col, text_col), df.schema[id_col].dataType, _bitmap(items), sorted(widths) or [WIDTH])
     seeds = runs.select("_id", "_h", F.explode("_seeds").alias("_s")).distinct()
     pairs = materialize(seeds.join(_index(items), "_s").select("_id", "_h", "_item", "_ih").distinct(), "decontaminate-pairs")
     whole = runs.groupBy("_id", "_h").agg(F.collect_list(F.struct("_start", "_words")).alias("_runs"))
@@ -289,6 +285,6 @@ def keep_clean(df: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
     """The input rows, all columns, that are not contaminated."""
     found = coverage(df, bench, id_col, text_col, "item_id", "text").where(F.col("_share") >= THRESHOLD)
     hits = materialize(found.select(F.col("_id").alias("_did"), F.col("_h").alias("_dh")).distinct(), "decontaminate-hits")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    hit = F.col(f"`{id_col}`").eqNullSafe(F.col("_did")) & (F.xxhash64(text) == F.col("_dh"))
-    return df.join(hits, hit, "left_anti")
+    rows = carried(df, _id=F.col(f"`{id_col}`"), _th=F.xxhash64(text_of(text_col)))
+    hit = F.col("_id").eqNullSafe(F.col("_did")) & (F.col("_th") == F.col("_dh"))
+    return rows.join(hits, hit, "left_anti").select("_row.*")

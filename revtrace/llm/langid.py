@@ -311,4 +311,7 @@ def keep_known(df: DataFrame, model: Model | None, min_score: float = 0.3, text_
             kept = batch.filter(pa.array((pred != UNKNOWN) & (score >= min_score)))
             yield kept.select(range(width))
 
-    return df.select("*", _lettered(text_col).alias("_lettered")).mapInArrow(rows, df.schema)
+    name = "_lettered"
+    while name in df.columns:
+        name += "_"
+    return df.select("*", _lettered(text_col).alias(name)).mapInArrow(rows, df.schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.common import arrow_rows
+from revtrace.llm.common import arrow_rows, text_of
 from revtrace.llm.license_templates import TEMPLATES
 from revtrace.llm.words import PUNCTUATION, Piece, hashes, mix, pieces, spans, windows
 
@@ -160,5 +160,4 @@ def scan_licenses(
                     names,
                 )
 
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return df.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text")).mapInArrow(scan, schema)
+    return df.select(F.col(f"`{id_col}`").alias("_id"), text_of(text_col).alias("_text")).mapInArrow(scan, schema)
