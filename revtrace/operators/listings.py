@@ -67,15 +67,15 @@ def option_labels(d: Domain) -> DataFrame:
     """Drop-down labels of the registration forms, one row per option.
 
     Columns: ``kind`` (point / lot / device / material), ``option_key``
-    (the value the form submits, composite keys joined with ``|``) and
-    ``label``. Formats are the page's: ``"{rua} — {cidade}/{estado}"``,
+    (the value the form submits; the composite key of a point as a JSON
+    object, so no character in it is ambiguous) and ``label``. Formats are the page's: ``"{rua} — {cidade}/{estado}"``,
     ``"#{id} — {cidade}/{estado} ({data})"``,
     ``"{nome} ({categoria}, {peso} kg)"`` and ``"{nome} — {tipo}"``.
     """
     dash = " — "
     points = d.ponto_coleta.select(
         F.lit("point").alias("kind"),
-        F.concat_ws("|", "rua", "cidade", "cep", "estado").alias("option_key"),
+        F.to_json(F.struct("rua", "cidade", "cep", "estado")).alias("option_key"),
         F.concat(F.col("rua"), F.lit(dash), F.col("cidade"), F.lit("/"), F.col("estado")).alias(
             "label"
         ),
@@ -103,7 +103,8 @@ def option_labels(d: Domain) -> DataFrame:
             F.lit(" ("),
             F.col("categoria"),
             F.lit(", "),
-            F.col("peso_medio").cast("string"),
+            # plain notation, without the zeros of the declared scale
+            F.regexp_replace(F.col("peso_medio").cast("string"), r"\.?0+$", ""),
             F.lit(" kg)"),
         ).alias("label"),
     )

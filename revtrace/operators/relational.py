@@ -42,11 +42,18 @@ def join_inner_composite4(d: Domain) -> DataFrame:
 
 
 def join_left_outer(d: Domain) -> DataFrame:
-    """Every lot with its sorted lots; lots never sorted keep a NULL pin."""
-    lt = d.lote_triado.select(
-        F.col("lote_coleta").alias("id_lote"), "pin_lote_tri"
-    )
-    return d.lote_coleta.select("id_lote").join(lt, "id_lote", "left")
+    """Every lot with its sorted lots; lots never sorted keep a NULL pin.
+
+    Written as inner join plus anti-join: adaptive execution can split a hot
+    lot on either side of the inner join, but only the left side of an outer
+    one, and here the right side (sorted lots) is the one that repeats keys.
+    The anti-join sees each sorted lot id once.
+    """
+    lots = d.lote_coleta.select("id_lote")
+    lt = d.lote_triado.select(F.col("lote_coleta").alias("id_lote"), "pin_lote_tri")
+    never = lots.join(lt.select("id_lote").distinct(), "id_lote", "left_anti")
+    pin = F.lit(None).cast(lt.schema["pin_lote_tri"].dataType).alias("pin_lote_tri")
+    return lots.join(lt, "id_lote").unionByName(never.select("id_lote", pin))
 
 
 def not_exists_one_level(d: Domain) -> DataFrame:

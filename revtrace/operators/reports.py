@@ -194,9 +194,13 @@ def trace_origin_by_material(d: Domain, material: str) -> DataFrame:
 
     The parameter is a literal pushed to the material scan. Lots are reached
     from the process rows directly (the process carries the lot id), and the
-    result keeps the points that exist in the point table. Case-sensitive;
-    an unknown material gives no rows.
+    result keeps the points that exist in the point table. White space around
+    the parameter is dropped and a blank one is refused (``ValueError``).
+    Case-sensitive; an unknown material gives no rows.
     """
+    material = (material or "").strip()
+    if not material:
+        raise ValueError("a material name is required")
     mp = d.material_processado.filter(F.col("material") == F.lit(material)).select(
         *PROCESS_KEY
     )

@@ -2,10 +2,10 @@
 
 Only the raw test tables are registered in the checker, so each statement
 starts with the domain mapping of :mod:`revtrace.sources.testdata` written
-as CTEs (``DOMAIN_VIEWS``). The reports keep the shape of the original SQL
-(double NOT EXISTS, LEFT JOIN + IS NULL, CTE + scalar subquery, DISTINCT
-over a join chain, ROUND(AVG(date - date))), which is the point of the
-cross-check: our Spark plans are rewritten forms of them.
+as CTEs (``DOMAIN_VIEWS``). The reports are stated from their meaning, in
+other forms than the Spark plans: division and "never sorted" as set
+differences, the mean comparison with window totals, lineage with nested IN,
+the mean transit as sum over count.
 
 Decimal results are cast to DOUBLE here and in the Spark registry, since the
 two engines widen sums differently; dates are compared as ISO text.
@@ -140,65 +140,65 @@ def with_domain(body: str, extra_ctes: str = "") -> str:
     ctes = DOMAIN_VIEWS.strip()
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body.startswith("WITH"):
+        body = f"SELECT * FROM ({body}) body"
+    return f"WITH {ctes}\n{body}"
 
 
 REPORTS: dict[str, str] = {
+    # Recycling centres minus those that lack some critical material.
     "relational_division": """
-SELECT cr.cnpj, cr.nome, cr.cidade, cr.estado
-FROM centro_reciclagem cr
-WHERE NOT EXISTS (
-  SELECT 1 FROM material m
-  WHERE m.tipo_material = 'Critico'
-    AND NOT EXISTS (
-      SELECT 1
-      FROM transporte_tri_reciclagem ttr
-      JOIN lote_triado lt ON ttr.cod_rastreio = lt.transporte_tri_reciclagem
-      JOIN processo_reciclagem pr ON lt.lote_coleta = pr.lote_coleta
-                                 AND lt.pin_lote_tri = pr.pin_lote_tri
-      JOIN material_processado mp ON pr.data_processamento = mp.data_processamento
-                                 AND pr.tipo_de_processamento = mp.tipo_de_processamento
-      WHERE ttr.centro_reciclagem = cr.cnpj AND mp.material = m.nome))
-ORDER BY cr.nome
+SELECT cnpj, nome, cidade, estado
+FROM centro_reciclagem
+WHERE cnpj NOT IN (
+  SELECT missing.cnpj FROM (
+    SELECT c.cnpj, m.nome AS material
+    FROM centro_reciclagem c, (SELECT nome FROM material WHERE tipo_material = 'Critico') m
+    EXCEPT
+    SELECT leg.centro_reciclagem, done.material
+    FROM material_processado done, processo_reciclagem step, lote_triado batch,
+         transporte_tri_reciclagem leg
+    WHERE (done.data_processamento, done.tipo_de_processamento)
+          = (step.data_processamento, step.tipo_de_processamento)
+      AND (step.lote_coleta, step.pin_lote_tri) = (batch.lote_coleta, batch.pin_lote_tri)
+      AND batch.transporte_tri_reciclagem = leg.cod_rastreio) missing)
 """,
+    # Lot ids minus sorted lot ids, then what is known of their first leg.
     "lots_without_sorting": """
-SELECT lc.id_lote AS id_lote, lc.data_coleta AS data_coleta,
-       lc.cidade AS cidade_origem, ct.nome AS centro_triagem,
-       t.data_chegada AS chegada_ao_centro
-FROM lote_coleta lc
-JOIN transporte_coleta_tri tct ON lc.transporte = tct.cod_rastreio
-JOIN transporte t ON tct.cod_rastreio = t.cod_rastreio
-JOIN centro_triagem ct ON tct.centro_triagem = ct.cnpj
-LEFT JOIN lote_triado lt ON lc.id_lote = lt.lote_coleta
-WHERE lt.lote_coleta IS NULL
-ORDER BY t.data_chegada
+WITH pending AS (SELECT id_lote FROM lote_coleta EXCEPT SELECT lote_coleta FROM lote_triado),
+first_leg AS (
+  SELECT cod_rastreio, nome AS centro_triagem, data_chegada AS chegada_ao_centro
+  FROM (SELECT cod_rastreio, centro_triagem AS cnpj FROM transporte_coleta_tri)
+  JOIN centro_triagem USING (cnpj)
+  JOIN (SELECT cod_rastreio, data_chegada FROM transporte) USING (cod_rastreio))
+SELECT id_lote, data_coleta, cidade AS cidade_origem, centro_triagem, chegada_ao_centro
+FROM pending JOIN lote_coleta USING (id_lote) JOIN first_leg ON first_leg.cod_rastreio = transporte
 """,
+    # A volume is above the mean if it times the number of centres exceeds the sum.
     "centres_above_average": """
 SELECT cnpj, nome, licenca_ambiental, CAST(volume_total AS DOUBLE) AS volume_total
-FROM volume_por_centro
-WHERE volume_total * (SELECT COUNT(volume_total) FROM volume_por_centro)
-      > (SELECT SUM(volume_total) FROM volume_por_centro)
-ORDER BY volume_total DESC
+FROM (SELECT *, COUNT(volume_total) OVER () AS centres, SUM(volume_total) OVER () AS everything
+      FROM volume_por_centro) totals
+WHERE volume_total * centres > everything
 """,
     "trace_origin_by_material": """
-SELECT DISTINCT pc.rua AS rua, pc.cidade AS cidade, pc.cep AS cep, pc.estado AS estado
-FROM ponto_coleta pc
-JOIN lote_coleta lc ON pc.rua = lc.rua AND pc.cidade = lc.cidade
-                   AND pc.cep = lc.cep AND pc.estado = lc.estado
-JOIN processo_reciclagem pr ON lc.id_lote = pr.lote_coleta
-JOIN material_processado mp ON pr.data_processamento = mp.data_processamento
-                           AND pr.tipo_de_processamento = mp.tipo_de_processamento
-WHERE mp.material = 'Brand#1'
-ORDER BY cidade, rua
+SELECT rua, cidade, cep, estado FROM ponto_coleta
+WHERE (rua, cidade, cep, estado) IN (
+  SELECT (rua, cidade, cep, estado) FROM lote_coleta WHERE id_lote IN (
+    SELECT lote_coleta FROM processo_reciclagem
+    WHERE (data_processamento, tipo_de_processamento) IN (
+      SELECT (data_processamento, tipo_de_processamento) FROM material_processado
+      WHERE material = 'Brand#1')))
 """,
     "carrier_mean_transit": """
-SELECT tr.cnpj AS cnpj, tr.nome AS nome,
-       CAST(ROUND(AVG(t.data_chegada - t.data_envio), 2) AS DOUBLE) AS media_dias
-FROM transportadora tr
-JOIN transporte t ON tr.cnpj = t.transportadora
-JOIN transporte_coleta_tri tct ON t.cod_rastreio = tct.cod_rastreio
-GROUP BY tr.cnpj, tr.nome
-ORDER BY media_dias
+WITH legs AS (
+  SELECT transportadora AS cnpj, SUM(datediff('day', data_envio, data_chegada)) AS days,
+         COUNT(data_chegada - data_envio) AS trips
+  FROM transporte WHERE cod_rastreio IN (SELECT cod_rastreio FROM transporte_coleta_tri)
+  GROUP BY transportadora)
+SELECT cnpj, nome, CAST(ROUND(days / trips, 2) AS DOUBLE) AS media_dias
+FROM legs JOIN transportadora USING (cnpj)
 """,
 }
 
@@ -258,7 +258,7 @@ FROM volume_por_centro
 SELECT cod_rastreio, CAST(data_chegada - data_envio AS INTEGER) AS dias FROM transporte
 """,
     "option_labels": """
-SELECT 'point' AS kind, rua || '|' || cidade || '|' || cep || '|' || estado AS option_key,
+SELECT 'point' AS kind, CAST(to_json({'rua': rua, 'cidade': cidade, 'cep': cep, 'estado': estado}) AS VARCHAR) AS option_key,
        rua || ' — ' || cidade || '/' || estado AS label
 FROM ponto_coleta
 UNION ALL
@@ -268,21 +268,23 @@ SELECT 'lot', CAST(id_lote AS VARCHAR),
 FROM lote_coleta
 UNION ALL
 SELECT 'device', nome,
-       nome || ' (' || categoria || ', ' || CAST(peso_medio AS VARCHAR) || ' kg)'
+       nome || ' (' || categoria || ', ' || regexp_replace(CAST(peso_medio AS VARCHAR), '\\.?0+$', '') || ' kg)'
 FROM dispositivo_eletronico
 UNION ALL
 SELECT 'material', nome, nome || ' — ' || tipo_material FROM material
 """,
 }
 
+# Volumes are summed per transport before they reach a centre.
 VOLUME_CTE = """
 volume_por_centro AS (
-  SELECT cr.cnpj, cr.nome, cr.licenca_ambiental, SUM(lt.peso_exato) AS volume_total
-  FROM centro_reciclagem cr
-  JOIN transporte_tri_reciclagem ttr ON cr.cnpj = ttr.centro_reciclagem
-  JOIN lote_triado lt ON ttr.cod_rastreio = lt.transporte_tri_reciclagem
-  WHERE cr.licenca_ambiental IS NOT NULL
-  GROUP BY cr.cnpj, cr.nome, cr.licenca_ambiental)
+  SELECT cnpj, nome, licenca_ambiental, SUM(leg_volume) AS volume_total
+  FROM (SELECT transporte_tri_reciclagem AS cod_rastreio, SUM(peso_exato) AS leg_volume
+        FROM lote_triado GROUP BY ALL) per_leg
+  JOIN (SELECT cod_rastreio, centro_reciclagem AS cnpj FROM transporte_tri_reciclagem) legs
+    USING (cod_rastreio)
+  JOIN (SELECT * FROM centro_reciclagem WHERE licenca_ambiental IS NOT NULL) licensed USING (cnpj)
+  GROUP BY ALL)
 """
 
 

@@ -23,8 +23,9 @@ from revtrace.streaming import feed
 from revtrace.sources.faults import with_faults
 from revtrace.sources.testdata import domain_from_testdata
 
-# Fixed value: the material traced by the registered lineage query.
-TRACED_MATERIAL = "Brand#1"
+# Fixed value: the material traced by the registered lineage query, padded as a
+# form might send it.
+TRACED_MATERIAL = " Brand#1\t"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
