@@ -10,13 +10,16 @@
 3. *Star edges.* In every bucket one class is the centre, the one whose
    buckets are fullest, and each other member is compared with it only. Links are
    confirmed on full sets: 100 * intersection >= 75 * union.
-4. *No link is lost.* Buckets whose members still lie in different components
-   get further rounds, each with a new centre; only members of another
-   component are compared. As soon as the remaining pairs across components are no
-   more than ``PAIRS_PER_MEMBER`` per bucket member, all of them are compared. A bucket leaves
-   when its members are one component or all pairs across components were compared,
-   so the components are those of all candidate pairs, at a number of
-   comparisons that follows the members, not their pairs.
+4. *No link is lost.* Buckets whose members still lie in different components get
+   further rounds: members of different components are compared. One round compares
+   at most ``PAIRS_PER_DOCUMENT`` pairs per document of the input; if more are left, a random share of each
+   bucket's members (at least one) are the centres of the round, meet all
+   others, and leave. A bucket is done when its members are one component or all pairs across
+   components were compared, so the components are those of all candidate pairs.
+
+   Pairs are first compared by their signatures, four bits of each of the 200 minima:
+   at a similarity of 0.75 fewer than ``SURE`` agree with a probability below 1e-9. Full
+   sets are fetched for what remains.
 5. *Components.* Rounds of large-star and small-star on the confirmed edges, as
    joins and grouped minima, each written to the shared checkpoint folder.
 
@@ -40,15 +43,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.common import arrow_rows, keyed, materialize
+from revtrace.llm.common import arrow_rows, carried, keyed, materialize, text_of
+from revtrace.llm.segments import BITS, bitmaps, marked
 from revtrace.llm.words import mix, pieces, shingle_sets
 
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
-#: Below so many untested pairs across components per bucket member, all are compared.
-PAIRS_PER_MEMBER = 4
+#: So many signatures per document of the input are compared in one round.
+PAIRS_PER_DOCUMENT = 16
+#: Pairs with fewer equal minima than this (of BINS, by four bits) are not compared in full.
+SURE = 112
+_LONGS = 13
 
 _EDGES = np.array([(k << 64) // BINS for k in range(BINS)], np.uint64)
 _TRIES = 4096
@@ -83,40 +90,68 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
+def bands(minima: np.ndarray) -> np.ndarray:
     """One 64-bit bucket key per band."""
-    rows = signature(shingles).reshape(BANDS, ROWS)
+    rows = minima.reshape(BANDS, ROWS)
     key = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for k in range(ROWS):
         key = mix(key * np.uint64(0xD1342543DE82EF95) + rows[:, k])
     return key.astype(np.int64)
 
 
+def packed(minima: np.ndarray) -> np.ndarray:
+    """Four bits of each minimum, sixteen to a long."""
+    bits = np.zeros(16 * _LONGS, np.uint64)
+    bits[:BINS] = mix(minima) & np.uint64(15)
+    return (bits.reshape(_LONGS, 16) << np.arange(0, 64, 4, dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
+
+
+def _agree(a: str, b: str):
+    """How many minima of two packed signatures are equal."""
+    total = F.lit(0)
+    for k in range(_LONGS):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + F.bit_count(x)
+    return F.lit(BINS) - total
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch.column(2)):
-            n, digest, keys = [], [], []
+            n, digest, keys, short = [], [], [], []
             for s in shingle_sets(piece, WIDTH):
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(bands(s) if len(s) else None)
+                minima = signature(s) if len(s) else None
+                keys.append(bands(minima) if len(s) else None)
+                short.append(packed(minima) if len(s) else None)
             ids = [c.slice(piece.first, piece.last - piece.first) for c in batch.columns[:2]]
             yield pa.RecordBatch.from_arrays(
-                [*ids, pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["_id", "_h", "_n", "_set", "_bands"],
+                [*ids, pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.list_(pa.int64()))],
+                ["_id", "_h", "_n", "_set", "_bands", "_sig"],
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in pieces(batch.column(1)):
-            found = [s.view(np.int64) for s in shingle_sets(piece, WIDTH)]
-            keys = batch.column(0).slice(piece.first, piece.last - piece.first)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.list_(pa.int64()))], ["_set", "_shingles"])
+def _sets(wanted):
+    """Shingle sets of the documents whose text hash is marked in a bitmap."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(wanted.value, np.uint8)
+        for batch in batches:
+            hashes = batch.column(1).to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(marked(bits, hashes)))
+            for piece in pieces(batch.column(2)):
+                found = [s.view(np.int64) for s in shingle_sets(piece, WIDTH)]
+                keys = [c.slice(piece.first, piece.last - piece.first) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(found, pa.list_(pa.int64()))], ["_id", "_h", "_shingles"])
+
+    return sets
 
 
 def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _h, _n (set size), _set (digest of the set, null if empty), _bands: written once."""
+    """_id, _h, _n (set size), _set (digest of the set, null if empty), _bands, _sig (packed minima): written once."""
     arrow_rows(df.sparkSession)
     schema = T.StructType(
         [
@@ -125,6 +160,7 @@ def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             T.StructField("_n", T.LongType()),
             T.StructField("_set", T.BinaryType()),
             T.StructField("_bands", T.ArrayType(T.LongType())),
+            T.StructField("_sig", T.ArrayType(T.LongType())),
         ]
     )
     return materialize(keyed(df, id_col, text_col).mapInArrow(_describe, schema), "near-dup-bands")
@@ -144,25 +180,52 @@ def bucket_members(docs: DataFrame) -> DataFrame:
     return materialize(shared.drop("_size").join(score, "_set"), "near-dup-members")
 
 
-def full_sets(df: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_set, _shingles) of every class that shares a bucket, from the whole text of one of its documents."""
+def signatures(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(_set, _sig) of every class that shares a bucket."""
+    one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min("_sig").alias("_sig"))
+    return materialize(one.join(members.select("_set").distinct(), "_set", "left_semi"), "near-dup-signatures")
+
+
+def full_sets(df: DataFrame, docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_set, _shingles) of every class in a pair, from the whole text of one of its documents.
+
+    A bitmap of fixed size picks the documents; only their sets are shuffled.
+    """
     one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_id", "_h")).alias("_d"))
-    one = one.join(members.select("_set").distinct(), "_set", "left_semi")
-    one = one.select("_set", F.col("_d._id").alias("_did"), F.col("_d._h").alias("_dh"))
-    rows = keyed(df, id_col, text_col)
-    texts = one.join(rows, F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dh") == F.col("_h")))
-    schema = T.StructType([T.StructField("_set", T.BinaryType()), T.StructField("_shingles", T.ArrayType(T.LongType()))])
-    return materialize(texts.select("_set", "_text").mapInArrow(_sets, schema), "near-dup-sets")
+    asked = pairs.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
+    one = one.join(asked, "_set", "left_semi").select("_set", F.col("_d._id").alias("_did"), F.col("_d._h").alias("_dh"))
+    one = materialize(one, "near-dup-asked")
+    spark = df.sparkSession
+    (bits,) = bitmaps(one.select(F.col("_dh").alias("_key")), [F.lit(True)])
+    wanted = spark.sparkContext.broadcast(bits or bytes(BITS // 8))
+    schema = T.StructType(
+        [
+            T.StructField("_id", df.schema[id_col].dataType),
+            T.StructField("_h", T.LongType()),
+            T.StructField("_shingles", T.ArrayType(T.LongType())),
+        ]
+    )
+    rows = keyed(df, id_col, text_col).mapInArrow(_sets(wanted), schema)
+    rows = one.join(rows, F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dh") == F.col("_h")))
+    return materialize(rows.select("_set", "_shingles").dropDuplicates(["_set"]), "near-dup-sets")
+
+
+def alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The distinct pairs (_a, _b) whose signatures leave room for a link: written once."""
+    left = sigs.select(F.col("_set").alias("_a"), F.col("_sig").alias("_ga"))
+    right = sigs.select(F.col("_set").alias("_b"), F.col("_sig").alias("_gb"))
+    both = pairs.select("_a", "_b").distinct().join(left, "_a").join(right, "_b")
+    return materialize(both.where(_agree("_ga", "_gb") >= SURE).select("_a", "_b"), "near-dup-alike")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (_a, _b) whose full sets are similar enough."""
     left = sets.select(F.col("_set").alias("_a"), F.col("_shingles").alias("_sa"))
     right = sets.select(F.col("_set").alias("_b"), F.col("_shingles").alias("_sb"))
-    both = pairs.select("_a", "_b").join(left, "_a").join(right, "_b")
+    both = pairs.join(left, "_a").join(right, "_b")
     common = F.size(F.array_intersect("_sa", "_sb"))
     union = F.size("_sa") + F.size("_sb") - common
-    return both.where(common * 100 >= union * PERCENT).select("_a", "_b").distinct()
+    return materialize(both.where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -196,35 +259,45 @@ def _fits(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(_a, _b): confirmed links whose components are those of all candidate pairs."""
+def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
+    """(_a, _b): confirmed links whose components are those of all candidate pairs.
+
+    ``fetch`` gives the full sets of the classes in a frame of pairs.
+    """
     key = ["_band", "_bucket"]
-    members = members.withColumn("_label", F.col("_set"))
-    found = None
+    sigs, documents = signatures(docs, members), docs.count()
+    centres = members.groupBy(*key).agg(F.max(F.struct("_score", "_set", "_n")).alias("_c"))
+    stars = members.join(centres, key).where((F.col("_set") != F.col("_c._set")) & _fits("_n", "_c._n"))
+    pairs = alike(stars.select(F.col("_set").alias("_a"), F.col("_c._set").alias("_b")), sigs)
+    found = confirm(pairs, fetch(pairs))
+    # A round's centres have met every member; they leave.
+    rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key).where("_set <> _centre")
+    rest, turn = rest.drop("_centre").join(sigs, "_set"), 0
     while True:
-        centres = members.groupBy(*key).agg(F.max(F.struct("_score", "_set", "_n", "_label")).alias("_c"))
-        stars = members.join(centres, key).where("_label <> _c._label")
-        pairs = stars.where(_fits("_n", "_c._n")).select(F.col("_set").alias("_a"), F.col("_c._set").alias("_b"))
-        new = materialize(confirm(pairs.distinct(), sets), "near-dup-links")
-        found = new if found is None else found.unionByName(new)
-        labels = components(found)
-        # The centre has met every member. The others go on where they still lie in several components.
-        rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key)
-        rest = rest.where("_set <> _centre").drop("_label", "_centre").join(labels, "_set", "left")
-        rest = materialize(rest.withColumn("_label", F.coalesce("_label", "_set")), "near-dup-rest")
+        rest = rest.join(components(found), "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
+        rest = materialize(rest, "near-dup-rest")
         groups = rest.groupBy(*key, "_label").agg(F.count(F.lit(1)).alias("_k")).groupBy(*key)
         groups = groups.agg(F.sum("_k").alias("_size"), F.sum(F.col("_k") * F.col("_k")).alias("_same"))
         groups = materialize(groups.where("_size * _size > _same"), "near-dup-open")
-        left = groups.agg(F.sum("_size").alias("size"), F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2).alias("pairs")).first()
-        if not left["size"]:
+        untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
+        if not untested:
             return found
-        members = rest.join(groups.select(*key), key, "left_semi")
-        if left["pairs"] <= PAIRS_PER_MEMBER * left["size"]:
-            other = members.select(*key, F.col("_set").alias("_b"), F.col("_n").alias("_nb"), F.col("_label").alias("_lb"))
-            pairs = members.join(other, key).where((F.col("_label") < F.col("_lb")) & _fits("_n", "_nb"))
-            last = confirm(pairs.select(F.col("_set").alias("_a"), "_b").distinct(), sets)
-            return found.unionByName(materialize(last, "near-dup-links"))
-        members = materialize(members, "near-dup-members")
+        rest = rest.join(groups.select(*key), key, "left_semi")
+        share, turn = PAIRS_PER_DOCUMENT * documents / untested, turn + 1
+        drawn = F.pmod(F.xxhash64("_set", F.lit(turn)), F.lit(1 << 20)) < int(share * (1 << 20))
+        first = rest.groupBy(*key).agg(F.max(F.struct("_label", "_set")).alias("_f")).select(*key, F.col("_f._set").alias("_first"))
+        rest = rest.join(first, key).withColumn("_centre", drawn | (F.col("_set") == F.col("_first")))
+        rest = materialize(rest.drop("_first"), "near-dup-round")
+        centre = rest.where("_centre").select(
+            *key, *[F.col(c).alias(f"{c}_c") for c in ("_set", "_n", "_sig", "_label")]
+        )
+        met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c") & (_agree("_sig", "_sig_c") >= SURE)
+        # Two centres meet once.
+        met &= ~F.col("_centre") | (F.col("_set") < F.col("_set_c"))
+        pairs = rest.alias("m").join(centre.alias("c"), [F.col(f"m.{k}") == F.col(f"c.{k}") for k in key] + [met])
+        pairs = materialize(pairs.select(F.col("_set").alias("_a"), F.col("_set_c").alias("_b")).distinct(), "near-dup-alike")
+        found = found.unionByName(confirm(pairs, fetch(pairs)))
+        rest = rest.where("NOT _centre").drop("_centre", "_label")
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,15 +308,15 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     docs = describe(df, id_col, text_col)
     members = bucket_members(docs)
-    sets = full_sets(df, docs, members, id_col, text_col)
-    labels = materialize(components(links(members, sets)), "near-dup-labels")
+    found = links(docs, members, lambda pairs: full_sets(df, docs, pairs, id_col, text_col))
+    labels = components(found)
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
     least = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(first).alias("_first"))
     least = least.join(labels, "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
     least = materialize(least, "near-dup-classes")
     smallest = least.groupBy("_label").agg(F.min("_first").alias("_first"))
     classes = least.drop("_first").join(smallest, "_label").select("_set", "_first")
-    out = docs.drop("_bands").join(classes, "_set", "left")
+    out = docs.drop("_bands", "_sig").join(classes, "_set", "left")
     alone = F.col("_set").isNull()
     cid = F.when(alone, F.col("_id")).otherwise(F.col("_first._id"))
     return out.select(
@@ -260,6 +333,6 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """The input rows, all columns, of the one document of each component that stays."""
     go = near_dedup(df, id_col, text_col).where("NOT stays").select(F.col(id_col).alias("_gid"), F.col("_h").alias("_gh"))
     go = materialize(go.distinct(), "near-dup-go")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    gone = F.col(f"`{id_col}`").eqNullSafe(F.col("_gid")) & (F.xxhash64(text) == F.col("_gh"))
-    return df.join(go, gone, "left_anti")
+    rows = carried(df, _id=F.col(f"`{id_col}`"), _th=F.xxhash64(text_of(text_col)))
+    gone = F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gh"))
+    return rows.join(go, gone, "left_anti").select("_row.*")

@@ -137,7 +137,7 @@ class Shape:
         doc = np.searchsorted(s.first, start, "right") - 1
         stop = np.minimum(np.append(start[1:], len(anchor)), s.first[doc + 1] - self.width + 1)
         key, count = anchor[start], stop - start
-        single = _marked(hot, key) if hot is not None else np.zeros(len(start), bool)
+        single = marked(hot, key) if hot is not None else np.zeros(len(start), bool)
         limit = np.where(single, 1, RUN)
         parts = -(-count // limit)
         if (parts > 1).any():
@@ -162,12 +162,12 @@ class Shape:
         return last - first > 1
 
 
-def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys & np.uint64(BITS - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _bitmaps(counts: DataFrame, conditions: list) -> list[bytes | None]:
+def bitmaps(counts: DataFrame, conditions: list) -> list[bytes | None]:
     """A bitmap of BITS bits of the keys under each condition; at most BITS / 64 rows reach the driver."""
     bit = F.pmod("_key", F.lit(BITS))
     mask = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
@@ -191,10 +191,10 @@ class Finder:
         self.rows, self.shape = rows, shape
         self.spark = rows.sparkSession
         self.id_type = rows.schema["_id"].dataType
-        repeated, hot = _bitmaps(self._counts(None), [F.col("_n") > 1, F.col("_n") > HOT])
+        repeated, hot = bitmaps(self._counts(None), [F.col("_n") > 1, F.col("_n") > HOT])
         again = None
         if hot is not None:
-            (again,) = _bitmaps(self._counts(self._share(hot)), [F.col("_n") > 1])
+            (again,) = bitmaps(self._counts(self._share(hot)), [F.col("_n") > 1])
         empty = bytes(BITS // 8)
         self.maps = self._share((repeated or empty, hot, again or empty if hot is not None else None))
 
@@ -235,9 +235,9 @@ class Finder:
                 s, _, seg = shape.segments(piece, hot)
                 if seg is None:
                     continue
-                keep = _marked(repeated, seg.key)
+                keep = marked(repeated, seg.key)
                 if hot is not None:
-                    keep = np.where(seg.single, _marked(again, seg.key), keep)
+                    keep = np.where(seg.single, marked(again, seg.key), keep)
                 if keep.any():
                     yield piece, s, seg.take(np.flatnonzero(keep))
 
