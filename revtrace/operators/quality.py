@@ -11,9 +11,9 @@ All checks are driven by the catalogue in :mod:`revtrace.schema`:
   (``count_if`` per column), unpivoted to one row per constraint,
 * PRIMARY KEY / UNIQUE: ``groupBy(key).count()`` (map-side partial counts,
   so a key holding a large share of rows costs one row per task),
-* FOREIGN KEY: child keys anti-joined to the distinct parent keys
-  (broadcast when the parent key set is small, so the child is scanned
-  once and never shuffled),
+* FOREIGN KEY: one pass per child table: its key columns are left-joined
+  to the distinct keys of all parents (broadcast when a key set is
+  measured small), and the misses of every key are counted together,
 * deletes: doomed key sets flow down the FK DAG in topological order
   (``left_semi`` per cascading edge); SET NULL and NO ACTION edges are
   evaluated against the final doomed sets.
@@ -138,41 +138,44 @@ def check_unique(d: Domain, tables: list[str] | None = None) -> DataFrame:
     return _union(out)
 
 
-def orphan_count(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
-    """Number of child rows whose non-NULL FK has no parent (one row).
+def orphan_counts(child: DataFrame, parents: dict[str, DataFrame], fks: list[ForeignKey]) -> DataFrame:
+    """One row with a column per foreign key: child rows whose non-NULL key has no parent.
 
-    Child keys are anti-joined to the distinct parent keys directly: when
-    the parent key set is small (most foreign keys point at dimension
-    tables) the join is a broadcast hash anti-join and the child is never
-    shuffled; against a large parent it is a sort-merge anti-join, whose
-    skewed child partitions adaptive execution splits.
+    The child is scanned once. Parent keys are distinct, so no join repeats a
+    child row; a hot child key stands on the left side of a left outer join,
+    which adaptive execution can split.
     """
-    cols = list(fk.columns)
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    parent_keys = parent.select(
-        *[F.col(p).alias(c) for c, p in zip(cols, fk.parent_columns)]
-    ).distinct()
-    return (
-        child.filter(complete)
-        .select(*cols)
-        .join(parent_keys, cols, "left_anti")
-        .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-    )
+    rows = child.select(*sorted({c for fk in fks for c in fk.columns}))
+    misses = []
+    for i, fk in enumerate(fks):
+        keys = parents[fk.parent].select(
+            *[F.col(p).alias(f"_k{i}_{c}") for c, p in zip(fk.columns, fk.parent_columns)]
+        )
+        keys = keys.distinct().withColumn(f"_hit{i}", F.lit(True))
+        same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_k{i}_{c}") for c in fk.columns])
+        rows = rows.join(keys, same, "left").drop(*[f"_k{i}_{c}" for c in fk.columns])
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.columns])
+        misses.append(F.count_if(complete & F.col(f"_hit{i}").isNull()).alias(fk.name))
+    return rows.agg(*misses)
 
 
 def check_foreign_key(d: Domain, tables: list[str] | None = None) -> DataFrame:
     """Orphan rows per foreign key (MATCH SIMPLE: a NULL column skips the row)."""
     out = []
     for name in tables or list(TABLES):
-        for fk in TABLES[name].foreign_keys:
-            out.append(
-                orphan_count(d[name], d[fk.parent], fk).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(fk.name).alias("constraint_name"),
-                    F.lit(fk.parent).alias("parent_table"),
-                    "violations",
-                )
+        fks = list(TABLES[name].foreign_keys)
+        if not fks:
+            continue
+        counts = orphan_counts(d[name], {fk.parent: d[fk.parent] for fk in fks}, fks)
+        parent = F.create_map(*[F.lit(x) for fk in fks for x in (fk.name, fk.parent)])
+        out.append(
+            counts.unpivot([], [fk.name for fk in fks], "constraint_name", "violations").select(
+                F.lit(name).alias("table_name"),
+                "constraint_name",
+                parent[F.col("constraint_name")].alias("parent_table"),
+                F.col("violations").cast("long").alias("violations"),
             )
+        )
     return _union(out)
 
 

@@ -143,7 +143,7 @@ def with_domain(body: str, extra_ctes: str = "") -> str:
     body = body.strip()
     if body.startswith("WITH"):
         body = f"SELECT * FROM ({body}) body"
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' if 'walk_lots' in ctes else ''}{ctes}\n{body}"
 
 
 REPORTS: dict[str, str] = {
@@ -517,16 +517,18 @@ ORDER BY load_order
 
 # ------------------------------------------------------------------ ingest
 # Same rules as revtrace.operators.ingest, written as set SQL. First-wins
-# over two unique keys is taken in a single pass here (first in both key
-# groups); that equals the sequential outcome on these feeds because a
-# repeated submission repeats its whole row, so no acceptance chain
-# (second in one group only because the first was rejected) can form.
+# over two unique keys is replayed row by row here: a recursion walks the lots
+# that contest a key in arrival order and carries the keys taken so far.
 
 INGEST_POINTS_CTES = """
 prep_points AS (
   SELECT submit_seq, rua, cidade, rtrim(cep) AS cep,
          rtrim(upper(substr(estado, 1, 2))) AS estado,
-         TRY_CAST(capacidade_max AS DECIMAL(18,2)) AS cap,
+         CASE WHEN regexp_full_match(regexp_replace(capacidade_max, '^\\s+|\\s+$', '', 'g'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')
+               AND length(rtrim(regexp_extract(regexp_replace(capacidade_max, '^\\s+|\\s+$', '', 'g'), '\\.([0-9]*)', 1), '0')) <= 6
+              THEN TRY_CAST(regexp_replace(capacidade_max, '^\\s+|\\s+$', '', 'g') AS DECIMAL(28,6)) END AS cap,
+         CASE WHEN regexp_full_match(regexp_replace(capacidade_max, '^\\s+|\\s+$', '', 'g'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')
+              THEN '22003' ELSE '22P02' END AS cap_state,
          concat_ws(', ',
            CASE WHEN rua IS NULL OR rua = '' THEN 'rua' END,
            CASE WHEN cidade IS NULL OR cidade = '' THEN 'cidade' END,
@@ -563,7 +565,7 @@ out_points AS (
               WHEN s.static_reason = 'type' THEN 'capacidade_max'
               WHEN s.static_reason = 'too_long' THEN s.long_cols
               WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'pk_ponto_coleta' END AS detail,
-         CASE WHEN s.static_reason = 'type' THEN '22P02'
+         CASE WHEN s.static_reason = 'type' THEN cap_state
               WHEN s.static_reason = 'too_long' THEN '22001'
               WHEN s.static_reason IS NULL AND (s.ex_pk OR a.acc_pk < s.submit_seq)
                 THEN '23505' END AS sqlstate
@@ -575,17 +577,17 @@ out_points AS (
 INGEST_LOTS_CTES = """
 prep_lots AS (
   SELECT submit_seq,
-         CASE WHEN regexp_full_match(trim(id_lote), '[+-]?[0-9]+')
-              THEN TRY_CAST(trim(id_lote) AS BIGINT) END AS id,
+         CASE WHEN regexp_full_match(regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g'), '[+-]?[0-9]+')
+              THEN TRY_CAST(regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g') AS BIGINT) END AS id,
          rua, cidade, rtrim(cep) AS cep, rtrim(upper(substr(estado, 1, 2))) AS estado,
-         CAST(TRY_STRPTIME(trim(data_coleta), '%Y-%m-%d') AS DATE) AS data,
+         CAST(TRY_STRPTIME(regexp_replace(data_coleta, '^\\s+|\\s+$', '', 'g'), '%Y-%m-%d') AS DATE) AS data,
          concat_ws(', ',
-           CASE WHEN id_lote IS NULL OR trim(id_lote) = '' THEN 'id_lote' END,
-           CASE WHEN rua IS NULL OR trim(rua) = '' THEN 'rua' END,
-           CASE WHEN cidade IS NULL OR trim(cidade) = '' THEN 'cidade' END,
-           CASE WHEN cep IS NULL OR trim(cep) = '' THEN 'cep' END,
-           CASE WHEN estado IS NULL OR trim(estado) = '' THEN 'estado' END,
-           CASE WHEN data_coleta IS NULL OR trim(data_coleta) = '' THEN 'data_coleta' END
+           CASE WHEN id_lote IS NULL OR regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g') = '' THEN 'id_lote' END,
+           CASE WHEN rua IS NULL OR regexp_replace(rua, '^\\s+|\\s+$', '', 'g') = '' THEN 'rua' END,
+           CASE WHEN cidade IS NULL OR regexp_replace(cidade, '^\\s+|\\s+$', '', 'g') = '' THEN 'cidade' END,
+           CASE WHEN cep IS NULL OR regexp_replace(cep, '^\\s+|\\s+$', '', 'g') = '' THEN 'cep' END,
+           CASE WHEN estado IS NULL OR regexp_replace(estado, '^\\s+|\\s+$', '', 'g') = '' THEN 'estado' END,
+           CASE WHEN data_coleta IS NULL OR regexp_replace(data_coleta, '^\\s+|\\s+$', '', 'g') = '' THEN 'data_coleta' END
          ) AS missing
   FROM sub_lots),
 st_lots AS (
@@ -595,8 +597,11 @@ st_lots AS (
            CASE WHEN length(rtrim(cidade)) > 50 THEN 'cidade' END,
            CASE WHEN length(rtrim(cep)) > 8 THEN 'cep' END,
            CASE WHEN length(rtrim(estado)) > 2 THEN 'estado' END) AS long_cols,
-         EXISTS (SELECT 1 FROM ponto_coleta p WHERE p.rua = c.rua AND p.cidade = c.cidade
-                 AND p.cep = c.cep AND p.estado = c.estado) AS fk_ok,
+         (EXISTS (SELECT 1 FROM ponto_coleta p WHERE p.rua = c.rua AND p.cidade = c.cidade
+                  AND p.cep = c.cep AND p.estado = c.estado)
+          OR EXISTS (SELECT 1 FROM acc_points p WHERE p.rua = c.rua AND p.cidade = c.cidade
+                     AND p.cep = c.cep AND p.estado = c.estado
+                     AND p.acc_pk < c.submit_seq)) AS fk_ok,
          EXISTS (SELECT 1 FROM lote_coleta l WHERE l.id_lote = c.id) AS ex_pk,
          EXISTS (SELECT 1 FROM lote_coleta l WHERE l.rua = c.rua AND l.cidade = c.cidade
                  AND l.cep = c.cep AND l.estado = c.estado
@@ -611,12 +616,30 @@ st2_lots AS (
 pool_lots AS (
   SELECT * FROM st2_lots
   WHERE static_reason IS NULL AND fk_ok AND NOT ex_pk AND NOT ex_nk),
+keyed_lots AS (
+  SELECT *, rua || chr(0) || cidade || chr(0) || cep || chr(0) || estado || chr(0) || data AS nk
+  FROM pool_lots),
+counted_lots AS (
+  SELECT *, COUNT(*) OVER (PARTITION BY id) AS n_id, COUNT(*) OVER (PARTITION BY nk) AS n_nk
+  FROM keyed_lots),
+turn_lots AS (
+  SELECT *, row_number() OVER (ORDER BY submit_seq) AS rn
+  FROM counted_lots WHERE n_id > 1 OR n_nk > 1),
+walk_lots AS (
+  SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS ids, CAST([] AS VARCHAR[]) AS nks,
+         CAST(NULL AS BIGINT) AS taken
+  UNION ALL
+  SELECT t.rn,
+         CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN w.ids
+              ELSE list_append(w.ids, t.id) END,
+         CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN w.nks
+              ELSE list_append(w.nks, t.nk) END,
+         CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN NULL
+              ELSE t.submit_seq END
+  FROM walk_lots w JOIN turn_lots t ON t.rn = w.rn + 1),
 acc_lots AS (
-  SELECT p.* FROM pool_lots p
-  WHERE p.submit_seq = (SELECT MIN(q.submit_seq) FROM pool_lots q WHERE q.id = p.id)
-    AND p.submit_seq = (SELECT MIN(q.submit_seq) FROM pool_lots q
-                        WHERE q.rua = p.rua AND q.cidade = p.cidade AND q.cep = p.cep
-                          AND q.estado = p.estado AND q.data = p.data)),
+  SELECT * FROM counted_lots
+  WHERE (n_id = 1 AND n_nk = 1) OR submit_seq IN (SELECT taken FROM walk_lots)),
 dec_lots AS (
   SELECT s.*,
          (s.ex_pk OR a1.submit_seq < s.submit_seq) AS c_pk,
@@ -647,24 +670,30 @@ out_lots AS (
 INGEST_DEVICES_CTES = """
 prep_dev AS (
   SELECT submit_seq,
-         CASE WHEN regexp_full_match(trim(id_lote), '[+-]?[0-9]+')
-              THEN TRY_CAST(trim(id_lote) AS BIGINT) END AS lote,
+         CASE WHEN regexp_full_match(regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g'), '[+-]?[0-9]+')
+              THEN TRY_CAST(regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g') AS BIGINT) END AS lote,
          dispositivo,
-         TRY_CAST(quantidade AS DECIMAL(18,2)) AS qty,
+         CASE WHEN regexp_full_match(regexp_replace(quantidade, '^\\s+|\\s+$', '', 'g'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')
+               AND length(rtrim(regexp_extract(regexp_replace(quantidade, '^\\s+|\\s+$', '', 'g'), '\\.([0-9]*)', 1), '0')) <= 6
+              THEN TRY_CAST(regexp_replace(quantidade, '^\\s+|\\s+$', '', 'g') AS DECIMAL(28,6)) END AS qty,
+         CASE WHEN regexp_full_match(regexp_replace(quantidade, '^\\s+|\\s+$', '', 'g'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')
+              THEN '22003' ELSE '22P02' END AS qty_state,
          concat_ws(', ',
-           CASE WHEN id_lote IS NULL OR trim(id_lote) = '' THEN 'id_lote' END,
-           CASE WHEN dispositivo IS NULL OR trim(dispositivo) = '' THEN 'dispositivo' END,
-           CASE WHEN quantidade IS NULL OR trim(quantidade) = '' THEN 'quantidade' END
+           CASE WHEN id_lote IS NULL OR regexp_replace(id_lote, '^\\s+|\\s+$', '', 'g') = '' THEN 'id_lote' END,
+           CASE WHEN dispositivo IS NULL OR regexp_replace(dispositivo, '^\\s+|\\s+$', '', 'g') = '' THEN 'dispositivo' END,
+           CASE WHEN quantidade IS NULL OR regexp_replace(quantidade, '^\\s+|\\s+$', '', 'g') = '' THEN 'quantidade' END
          ) AS missing
   FROM sub_devices),
 lot_parents AS (
-  SELECT id_lote FROM lote_coleta UNION ALL SELECT id FROM acc_lots),
+  SELECT id_lote, CAST(-1 AS BIGINT) AS since FROM lote_coleta
+  UNION ALL SELECT id, submit_seq FROM acc_lots),
 st_dev AS (
   SELECT c.*,
          CASE WHEN missing <> '' THEN 'missing'
               WHEN lote IS NULL OR qty IS NULL THEN 'type'
               WHEN length(rtrim(dispositivo)) > 100 THEN 'too_long' END AS static_reason,
-         c.lote IN (SELECT id_lote FROM lot_parents) AS fk_lote_ok,
+         EXISTS (SELECT 1 FROM lot_parents l
+                 WHERE l.id_lote = c.lote AND l.since < c.submit_seq) AS fk_lote_ok,
          EXISTS (SELECT 1 FROM dispositivo_eletronico d WHERE d.nome = c.dispositivo) AS fk_dev_ok,
          EXISTS (SELECT 1 FROM qtd_produto_lote q WHERE q.lote = c.lote
                  AND q.dispositivo_eletronico = c.dispositivo) AS ex_pk
@@ -685,7 +714,8 @@ out_devices AS (
               WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN 'pk_qtd_produto_lote'
               WHEN NOT s.fk_lote_ok THEN 'fk_qtd_lote'
               WHEN NOT s.fk_dev_ok THEN 'fk_qtd_dispositivo' END AS detail,
-         CASE WHEN s.static_reason = 'type' THEN '22P02'
+         CASE WHEN s.static_reason = 'type'
+                THEN CASE WHEN s.lote IS NULL THEN '22P02' ELSE qty_state END
               WHEN s.static_reason = 'too_long' THEN '22001'
               WHEN s.static_reason IS NOT NULL THEN NULL
               WHEN s.ex_pk OR a.acc_pk < s.submit_seq THEN '23505'
@@ -710,18 +740,28 @@ def ingest_sql() -> dict[str, str]:
     )
 
     points = POINT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_POINTS_CTES.strip()
-    lots = LOT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_LOTS_CTES.strip()
+    lots = points + ",\n" + LOT_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_LOTS_CTES.strip()
     devices = lots + ",\n" + LOT_DEVICE_SUBMISSIONS_SQL.strip() + ",\n" + INGEST_DEVICES_CTES.strip()
-    everything = points + ",\n" + devices
     stream_body = " UNION ALL ".join(
         f"SELECT '{kind}' AS kind, * FROM ({_outcomes(cte)}) o_{kind}"
         for kind, cte in (("point", "out_points"), ("lot", "out_lots"), ("device", "out_devices"))
     )
     return {
-        "ingest_stream": with_domain(stream_body, everything),
+        "ingest_stream": with_domain(stream_body, devices),
         "ingest_points": with_domain(_outcomes("out_points"), points),
         "ingest_lots": with_domain(_outcomes("out_lots"), lots),
         "ingest_lot_devices": with_domain(_outcomes("out_devices"), devices),
+        "ingested_points": with_domain(
+            "SELECT s.submit_seq, rua, cidade, cep, estado, CAST(cap AS VARCHAR) AS capacidade_max "
+            "FROM st_points s JOIN out_points o USING (submit_seq) WHERE o.reason IS NULL",
+            points,
+        ),
+        "ingested_lot_devices": with_domain(
+            "SELECT s.submit_seq, lote, dispositivo AS dispositivo_eletronico, "
+            "CAST(qty AS VARCHAR) AS quantidade "
+            "FROM st_dev s JOIN out_devices o USING (submit_seq) WHERE o.reason IS NULL",
+            devices,
+        ),
         "normalize_state": with_domain(
             "SELECT submit_seq, estado AS estado_raw, upper(substr(estado, 1, 2)) AS estado "
             "FROM sub_points",

@@ -127,31 +127,51 @@ def missing_fields_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ingest_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classify point submissions against the existing points."""
+def _points_result(spark: SparkSession, sf_dir: str):
     d = domain_from_testdata(spark, sf_dir)
     sub = submissions.point_submissions(spark, sf_dir)
-    return ingest.ingest_points(sub, d.ponto_coleta).outcomes
+    return d, ingest.ingest_points(sub, d.ponto_coleta)
 
 
 def _lots_result(spark: SparkSession, sf_dir: str):
-    d = domain_from_testdata(spark, sf_dir)
+    d, points = _points_result(spark, sf_dir)
     sub = submissions.lot_submissions(spark, sf_dir)
-    return d, ingest.ingest_lots(sub, d.lote_coleta, d.ponto_coleta)
+    return d, ingest.ingest_lots(sub, d.lote_coleta, d.ponto_coleta, points.arrived)
+
+
+def _lot_devices_result(spark: SparkSession, sf_dir: str):
+    d, lots = _lots_result(spark, sf_dir)
+    sub = submissions.lot_device_submissions(spark, sf_dir)
+    return ingest.ingest_lot_devices(
+        sub, d.qtd_produto_lote, d.lote_coleta, d.dispositivo_eletronico, lots.arrived
+    )
+
+
+def ingest_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classify point submissions against the existing points."""
+    return _points_result(spark, sf_dir)[1].outcomes
+
+
+def ingested_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted point rows; the capacity as text, every digit of it."""
+    rows = _points_result(spark, sf_dir)[1].arrived
+    return rows.withColumn("capacidade_max", F.col("capacidade_max").cast("string"))
 
 
 def ingest_lots_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classify lot submissions (two unique keys, point foreign key)."""
+    """Classify lot submissions (two unique keys, point foreign key) after the point feed of the same run."""
     return _lots_result(spark, sf_dir)[1].outcomes
 
 
 def ingest_lot_devices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classify device-in-lot submissions after the lot feed of the same run."""
-    d, lots = _lots_result(spark, sf_dir)
-    sub = submissions.lot_device_submissions(spark, sf_dir)
-    return ingest.ingest_lot_devices(
-        sub, d.qtd_produto_lote, d.lote_coleta, d.dispositivo_eletronico, lots.accepted
-    ).outcomes
+    """Classify device-in-lot submissions after the point and lot feeds of the same run."""
+    return _lot_devices_result(spark, sf_dir).outcomes
+
+
+def ingested_lot_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted device-in-lot rows; the quantity as text, every digit of it."""
+    rows = _lot_devices_result(spark, sf_dir).arrived
+    return rows.withColumn("quantidade", F.col("quantidade").cast("string"))
 
 
 def full_reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +240,10 @@ def queries() -> dict[str, QueryFn]:
         "normalize_state": normalize_state_query,
         "missing_fields": missing_fields_query,
         "ingest_points": ingest_points_query,
+        "ingested_points": ingested_points,
         "ingest_lots": ingest_lots_query,
         "ingest_lot_devices": ingest_lot_devices_query,
+        "ingested_lot_devices": ingested_lot_devices,
         "full_reload_report": full_reload_report,
         "ingest_stream": ingest_stream,
     }

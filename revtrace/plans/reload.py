@@ -4,8 +4,13 @@ The source job drops the database and reloads every table in one
 transaction; any violated constraint rolls the whole load back. Here the
 same all-or-nothing rule is: write every table once into a new version
 folder (in load order), validate the written copy (one row per table), and
-publish by switching a one-row ``_current`` marker only when every count
-is zero.
+publish only when every count is zero.
+
+Publishing appends one small file to ``_markers``: a row per table with the
+folder that now holds it and the number of the publication. The file appears
+whole or not at all, nothing is overwritten, and readers take the rows of the
+highest number, so there is always a complete published state. A delete is
+published the same way; tables it does not touch keep their folders.
 """
 
 from __future__ import annotations
@@ -13,14 +18,15 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrace.operators import quality
 from revtrace.schema import TABLES, load_levels, load_order
 from revtrace.sources.domain import Domain
-from revtrace.session import shared_dir
-from revtrace.sources.store import read_domain, write_table
+from revtrace.session import remove, shared_dir
+from revtrace.sources.store import read_domain, read_path, table_path, write_table
 
 RULES = ("not_null", "too_long", "duplicate_key", "foreign_key")
 
@@ -70,7 +76,12 @@ def reload_report(d: Domain, staged: bool = True) -> DataFrame:
     duplicate_key, foreign_key, publishable) per table."""
     spark = d.spark
     if staged:
-        d = stage(d)
+        # the sixteen rows are computed here, then the staged copies go
+        root = shared_dir(spark, "staging")
+        report = reload_report(stage(d, root), staged=False)
+        rows = report.collect()
+        remove(spark, root)
+        return spark.createDataFrame(rows, report.schema)
     order = load_order()
     levels = load_levels()
     meta = spark.createDataFrame(
@@ -100,6 +111,7 @@ def reload_report(d: Domain, staged: bool = True) -> DataFrame:
     clean = reduce(
         lambda a, b: a & b, [F.coalesce(F.col(r), F.lit(0)) == 0 for r in RULES]
     )
+    # one row per table
     return (
         meta.join(row_level, "table_name")
         .join(per_rule, "table_name", "left")
@@ -115,24 +127,55 @@ def reload_report(d: Domain, staged: bool = True) -> DataFrame:
     )
 
 
+MARKER = "number long, table_name string, folder string"
+
+
+def _markers(spark, target_root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(MARKER).parquet(f"{target_root.rstrip('/')}/_markers")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing published yet
+
+
+def published_folders(spark, target_root: str) -> tuple[int, dict[str, str]]:
+    """Number of the last publication (0: none) and the folder of each table."""
+    markers = _markers(spark, target_root)
+    if markers is None:
+        return 0, {}
+    last = markers.agg(F.max("number")).first()[0] or 0
+    rows = markers.filter(F.col("number") == last).collect()  # one per table
+    return last, {r["table_name"]: r["folder"] for r in rows}
+
+
+def _publish(spark, target_root: str, folders: dict[str, str]) -> None:
+    number = published_folders(spark, target_root)[0] + 1
+    rows = [(number, t, f) for t, f in folders.items()]
+    marker = spark.createDataFrame(rows, MARKER).coalesce(1)  # one file: it is committed as a whole
+    marker.write.mode("append").parquet(f"{target_root.rstrip('/')}/_markers")
+
+
+def _version_root(target_root: str) -> str:
+    return f"{target_root.rstrip('/')}/_versions/{uuid.uuid4().hex}"
+
+
 def full_reload(d: Domain, target_root: str) -> DataFrame:
     """Validate all tables, then publish them as the new current version.
 
     Every table is written once, into ``target_root/_versions/<version>``,
-    and validated there. Only if every count is zero is the one-row marker
-    ``target_root/_current`` switched to that version; readers
-    (:func:`read_published`) resolve the marker, so they see the previous
-    version or the new one, never a mix. A refused load raises
-    :class:`ReloadRefused` and leaves the marker untouched. The report has
-    one row per table, so collecting it is bounded by the catalogue.
+    and validated there. Only if every count is zero is the version published
+    (see the module docstring). A refused load raises :class:`ReloadRefused`
+    and its version is removed. The report has one row per table: it is
+    collected once, and the returned frame holds those rows.
     """
     spark = d.spark
-    version = uuid.uuid4().hex
-    staged = stage(d, f"{target_root.rstrip('/')}/_versions/{version}")
-    report = reload_report(staged, staged=False)
+    root = _version_root(target_root)
+    report = reload_report(stage(d, root), staged=False)
     rows = report.collect()
     bad = [r for r in rows if not r.publishable]
     if bad:
+        remove(spark, root)
         raise ReloadRefused(
             "; ".join(
                 f"{r.table_name}: "
@@ -140,13 +183,35 @@ def full_reload(d: Domain, target_root: str) -> DataFrame:
                 for r in bad
             )
         )
-    spark.createDataFrame([(version,)], "version string").write.mode("overwrite").text(
-        f"{target_root.rstrip('/')}/_current"
-    )
-    return report
+    _publish(spark, target_root, {t: table_path(root, t) for t in load_order()})
+    return spark.createDataFrame(rows, report.schema)
+
+
+def publish_delete(plan: quality.DeletePlan, target_root: str) -> dict[str, int]:
+    """Apply a delete to the published tables; rows left in each table it touches.
+
+    The plan must come from :func:`read_published` of the same target. Its
+    NO ACTION check runs first (:class:`quality.DeleteRefused`); then the new
+    contents of the touched tables are written and published together, so
+    readers see all effects of the delete or none. Deleting the same rows again
+    publishes equal tables.
+    """
+    spark = plan.domain.spark
+    number, folders = published_folders(spark, target_root)
+    if not number:
+        raise ReloadRefused("nothing is published yet")
+    root, left = _version_root(target_root), {}
+    for table, rows in quality.execute_delete(plan).items():
+        write_table(rows, root, table)
+        folders[table] = table_path(root, table)
+        left[table] = read_path(spark, folders[table], table).count()
+    _publish(spark, target_root, folders)
+    return left
 
 
 def read_published(spark, target_root: str) -> Domain:
-    """The domain as of the last successful :func:`full_reload`."""
-    version = spark.read.text(f"{target_root.rstrip('/')}/_current").first()[0]
-    return read_domain(spark, f"{target_root.rstrip('/')}/_versions/{version}")
+    """The domain as of the last publication."""
+    number, folders = published_folders(spark, target_root)
+    if not number:
+        raise ReloadRefused("nothing is published yet")
+    return Domain(spark, {t: (lambda t=t, f=f: read_path(spark, f, t)) for t, f in folders.items()})

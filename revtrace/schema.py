@@ -9,7 +9,8 @@ Column kinds follow the source DDL:
 
 * ``varchar`` / ``char`` -> ``StringType`` with a maximum length
   (``char`` values are right-trimmed at ingest, never padded),
-* ``numeric`` -> ``DecimalType(18, 2)``,
+* ``numeric`` -> ``DecimalType(28, 6)`` (the source type is unbounded; ingest rejects
+  what does not fit instead of rounding it),
 * ``date`` -> ``DateType``,
 * ``integer`` -> ``LongType`` (the test tables carry 64-bit keys).
 """
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-NUMERIC = T.DecimalType(18, 2)
+NUMERIC = T.DecimalType(28, 6)
 
 _SPARK_TYPES = {
     "varchar": T.StringType(),

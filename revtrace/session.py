@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: adaptive execution (runtime broadcast
 # decisions from measured sizes, partition coalescing, skew-join splitting)
@@ -43,8 +44,10 @@ def get_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (unit tests, a bare local session) is a private folder created.
+    ``spark.checkpoint.dir`` is read from the session. Only a local master
+    (unit tests, a bare local session) may leave it unset: a private folder
+    is then created. On a cluster an unset folder is an error, since
+    executors would write where nobody else can read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,33 +57,70 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="revtrace-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_run_folders: dict[str, str] = {}
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared checkpoint area, removed when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _run_folders:
+        _run_folders[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revtrace-{app}"
+        atexit.register(_remove_at_exit, spark, app)
+    return _run_folders[app]
+
+
+def _remove_at_exit(spark: SparkSession, app: str) -> None:
+    try:
+        remove(spark, _run_folders.pop(app))
+    except Exception:  # noqa: BLE001  the session is gone: nothing can be removed through it
+        pass
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared checkpoint area for job outputs.
+    """A fresh sub-folder of :func:`run_dir` for intermediate data.
 
-    Used for stream checkpoints, staged reloads and feed files: anything that
-    must survive the loss of an executor has to live in shared storage, never
-    on a machine-local disk.
+    Stream checkpoints, staged reloads, feed files: anything that must
+    survive the loss of an executor lives in shared storage, never on a
+    machine-local disk.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/revtrace-{purpose}-{uuid.uuid4().hex[:12]}"
+    return f"{run_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df, purpose: str):
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to a fresh shared folder and return it read back.
 
     Cuts the lineage (a lost executor re-reads the written files instead of
     recomputing the plan) and, unlike an eager ``checkpoint()``, runs the
     plan a single time. The folder lives under the cluster's shared
-    checkpoint directory, never on a machine-local disk.
+    checkpoint directory, never on a machine-local disk. It goes with
+    :func:`discard`, or at the end of the application.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._revtrace_path = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Remove the folders of materialized frames that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_revtrace_path", None)
+        if path:
+            remove(df.sparkSession, path)
 
 
 def local_path(path: str) -> str:

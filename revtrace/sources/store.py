@@ -7,6 +7,8 @@ report.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from revtrace.schema import TABLE_NAMES, TABLES
@@ -17,8 +19,21 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def run_path(root: str, table: str, run_id: str) -> str:
+    """The folder of the rows that one run added to a table."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", run_id):
+        raise ValueError(f"not a run id: {run_id!r}")
+    return f"{table_path(root, table)}/run-{run_id}"
+
+
+def read_path(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A stored table: its own files and those of the runs added to it."""
+    reader = spark.read.schema(TABLES[table].spark_schema).option("recursiveFileLookup", "true")
+    return reader.parquet(path)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(TABLES[table].spark_schema).parquet(table_path(root, table))
+    return read_path(spark, table_path(root, table), table)
 
 
 def read_domain(spark: SparkSession, root: str) -> Domain:

@@ -63,7 +63,7 @@ def test_listings(seeds):
 def test_option_labels(seeds):
     labels = {(r[0], r[1]): r[2] for r in rows(listings.option_labels(seeds))}
     assert labels[("lot", "1")] == "#1 — Sao Carlos/SP (2026-05-08)"
-    assert labels[("device", "Geladeira 2 Portas")] == "Geladeira 2 Portas (Linha Branca, 60.00 kg)"
+    assert labels[("device", "Geladeira 2 Portas")] == "Geladeira 2 Portas (Linha Branca, 60 kg)"
     assert labels[("material", "Litio")] == "Litio — Critico"
 
 
@@ -91,7 +91,7 @@ def test_append_accepted_reports_affected_rows(spark):
     )
     res = ingest.ingest_points(sub, d.ponto_coleta)
     root = shared_dir(spark, "append-test")
-    assert ingest.append_accepted(res, root, "ponto_coleta") == 1
+    assert ingest.append_accepted(res, root, "ponto_coleta", "first") == 1
     assert read_table(spark, root, "ponto_coleta").count() == 1
 
 
@@ -110,3 +110,21 @@ def test_register_views_for_sql(spark, seeds):
         ("55555555000155", 0.0),
         ("66666666000166", 1.0),
     ]
+
+
+def test_material_parameter_is_stripped_and_required(seeds):
+    import pytest
+
+    from revtrace.operators import reports
+
+    assert rows(reports.trace_origin_by_material(seeds, " Cobre\t")) == rows(reports.trace_origin_by_material(seeds, "Cobre"))
+    for blank in ("", " \t\n", None):
+        with pytest.raises(ValueError):
+            reports.trace_origin_by_material(seeds, blank)
+
+
+def test_option_keys_are_json(seeds):
+    import json
+
+    keys = [r[1] for r in rows(listings.option_labels(seeds)) if r[0] == "point"]
+    assert keys and all(set(json.loads(k)) == {"rua", "cidade", "cep", "estado"} for k in keys)

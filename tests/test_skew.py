@@ -75,3 +75,23 @@ def test_hot_key_join_is_split_and_exact(no_broadcast):
     assert len(df.collect()) == expected
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_hot_right_key_of_the_outer_join_is_split(no_broadcast):
+    """Two thirds of the sorted lots at one lot, the others once each, some lots never sorted."""
+    spark = no_broadcast
+    from pyspark.sql import functions as F
+
+    from revtrace.operators import relational
+    from revtrace.sources.domain import Domain
+
+    lots = spark.range(300).select(F.col("id").alias("id_lote"))
+    hot = spark.range(0, 20000, 1, 4).select(F.lit(7).cast("long").alias("lote_coleta"), F.concat(F.lit("PIN"), "id").alias("pin_lote_tri"))
+    cold = spark.range(0, 10000, 1, 4).select((F.col("id") % 200).alias("lote_coleta"), F.concat(F.lit("P"), "id").alias("pin_lote_tri"))
+    d = Domain.of(spark, {"lote_coleta": lots, "lote_triado": hot.unionByName(cold)})
+    out = relational.join_left_outer(d)
+    got = out.groupBy("id_lote").agg(F.count("pin_lote_tri").alias("n"), F.count("*").alias("rows")).collect()
+    counts = {r.id_lote: (r.n, r.rows) for r in got}
+    assert counts == {k: (20050, 20050) if k == 7 else (50, 50) if k < 200 else (0, 1) for k in range(300)}
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
