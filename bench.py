@@ -3,7 +3,7 @@
 Environment:
   BENCH_SF_DIR   test-table folder (default /root/testdata/sf0.1)
   BENCH_CPUS     local[N] cores (default 8)
-  BENCH_RUNS     timed runs per query after one warm-up (default 3)
+  BENCH_RUNS     timed runs per query after one warm-up (default 5)
   BENCH_DUCKDB   1 to also time the DuckDB oracle SQL as a reference point
 
 Each Spark query is forced with the ``noop`` sink (full execution, no
@@ -42,7 +42,7 @@ EXTRA = ["check_primary_key", "transport_unified", "ingest_lot_devices"]
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     with_duckdb = os.environ.get("BENCH_DUCKDB", "1") == "1"
 
     from revtrace.plans.oracle import oracle_sql
