@@ -336,3 +336,20 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = carried(df, _id=F.col(f"`{id_col}`"), _th=F.xxhash64(text_of(text_col)))
     gone = F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gh"))
     return rows.join(go, gone, "left_anti").select("_row.*")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+4], ' ') AS s
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept, doc_id = component_id AS stays
+FROM d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

@@ -62,4 +62,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_secret_scan": secrets.ORACLE_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op2_secret_scan": secrets.ORACLE_SQL,
+        "op4_substring_dedup": substring_dedup.ORACLE_SQL,
+        "op9_minhash_near_dedup": near_dup.ORACLE_SQL,
+    }

@@ -204,3 +204,20 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(texts, pa.string())] if keep_text else []), names)
 
     return with_cuts(docs, cuts).mapInArrow(cut, T.StructType(fields))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+spots AS (SELECT r, p AS s, string_agg(x, ' ') OVER t AS passage, count(*) OVER t AS n FROM words
+          WINDOW t AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+repeated AS (SELECT r, s FROM (
+  SELECT r, s, row_number() OVER (PARTITION BY passage ORDER BY r, s) AS nth FROM spots WHERE n = 20) WHERE nth > 1),
+judged AS (SELECT words.r, p, x, max(s) OVER (PARTITION BY words.r ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+           FROM words LEFT JOIN repeated ON repeated.r = words.r AND s = p),
+result AS (SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                  string_agg(x, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN result USING (r)
+"""
