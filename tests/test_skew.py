@@ -83,12 +83,14 @@ def test_hot_right_key_of_the_outer_join_is_split(no_broadcast):
     from pyspark.sql import functions as F
 
     from revtrace.operators import relational
+    from revtrace.schema import TABLE_NAMES
     from revtrace.sources.domain import Domain
 
     lots = spark.range(300).select(F.col("id").alias("id_lote"))
     hot = spark.range(0, 20000, 1, 4).select(F.lit(7).cast("long").alias("lote_coleta"), F.concat(F.lit("PIN"), "id").alias("pin_lote_tri"))
     cold = spark.range(0, 10000, 1, 4).select((F.col("id") % 200).alias("lote_coleta"), F.concat(F.lit("P"), "id").alias("pin_lote_tri"))
-    d = Domain.of(spark, {"lote_coleta": lots, "lote_triado": hot.unionByName(cold)})
+    seeds = seed_domain(spark)
+    d = Domain.of(spark, {t: seeds[t] for t in TABLE_NAMES} | {"lote_coleta": lots, "lote_triado": hot.unionByName(cold)})
     out = relational.join_left_outer(d)
     got = out.groupBy("id_lote").agg(F.count("pin_lote_tri").alias("n"), F.count("*").alias("rows")).collect()
     counts = {r.id_lote: (r.n, r.rows) for r in got}
