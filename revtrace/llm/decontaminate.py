@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revtrace.llm.common import arrow_rows, carried, keyed, materialize, text_of
-from revtrace.llm.words import hashes, inverse, pieces, powers, spans, windows
+from revtrace.llm.words import cached_powers, hashes, inverse, pieces, spans, windows
 
 WIDTH = 5
 BITS = 1 << 24
@@ -53,8 +53,8 @@ def _rolling(values: np.ndarray, width: int) -> np.ndarray:
     if n < width:
         return np.empty(0, np.uint64)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(_KR, n), out=total[1:])
-    return (total[width:] - total[:-width]) * powers(inverse(_KR), n - width + 1)
+    np.cumsum(values * cached_powers(_KR, n), out=total[1:])
+    return (total[width:] - total[:-width]) * cached_powers(inverse(_KR), n - width + 1)
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, least: int = WIDTH) -> list[tuple[int, int, int]]:

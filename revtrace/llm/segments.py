@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.words import PIECE, inverse, mix, pieces, powers
+from revtrace.llm.words import cached_powers, inverse, mix, pieces
 
 BITS = 1 << 26
 HOT = 50_000
@@ -76,9 +76,9 @@ class Rolling:
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        self.inv = _cached(inverse(_ROLL), n + 1)
+        self.inv = cached_powers(inverse(_ROLL), n + 1)
         self.total = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * _cached(_ROLL, n + 1)[:n], out=self.total[1:])
+        np.cumsum(values * cached_powers(_ROLL, n + 1)[:n], out=self.total[1:])
 
     def fixed(self, width: int) -> np.ndarray:
         n = len(self.total) - width
@@ -88,18 +88,6 @@ class Rolling:
         return mix((self.total[b] - self.total[a]) * self.inv[a] + (b - a).astype(np.uint64))
 
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _cached(base: np.uint64, n: int) -> np.ndarray:
-    got = _POWERS.get(int(base))
-    if got is None or len(got) < n:
-        got = _POWERS[int(base)] = powers(base, max(n, 1 << 16))
-        if n > 4 * PIECE:
-            del _POWERS[int(base)]
-    return got[:n]
-
-
 def _least(g: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every ``width`` neighbouring values."""
     span, m = 1, g

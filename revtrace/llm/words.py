@@ -9,8 +9,10 @@ a batch; memory is a few arrays of the size of a piece of about ``PIECE`` bytes
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -55,15 +57,19 @@ def inverse(base: np.uint64) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
 
-_POW = np.empty(0, np.uint64)
-_INV = np.empty(0, np.uint64)
+def cached_powers(base: np.uint64, n: int) -> np.ndarray:
+    """powers(base, n), kept for the next call.
 
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POW, _INV
-    if len(_POW) < n:
-        _POW, _INV = powers(_BASE, n), powers(inverse(_BASE), n)
-    return _POW, _INV
+    Functions shipped by value bring new module globals with every task, so what
+    is worth keeping is kept once per worker process, under a name of its own.
+    """
+    store = sys.modules.setdefault("_revtrace_powers", ModuleType("_revtrace_powers")).__dict__
+    got = store.get(hex(base))
+    if got is None or len(got) < n:
+        got = powers(base, max(n, 1 << 16))
+        if n <= 4 * PIECE:
+            store[hex(base)] = got
+    return got[:n]
 
 
 @dataclass
@@ -129,10 +135,10 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool =
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
         low, high = int(starts[i]), int(ends[j - 1])
-        power, inv = _powers(high - low)
+        inv = cached_powers(inverse(_BASE), high - low)
         total = np.empty(high - low + 1, np.uint64)
         total[0] = 0
-        np.cumsum(table[data[low:high]] * power[: high - low], out=total[1:])
+        np.cumsum(table[data[low:high]] * cached_powers(_BASE, high - low), out=total[1:])
         s = starts[i:j] - low
         out[i:j] = (total[ends[i:j] - low] - total[s]) * inv[s]
         i = j
