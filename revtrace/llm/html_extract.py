@@ -8,9 +8,15 @@ m pages that have it, both to the base m:
 * content: 1 - the mean over its text blocks of log_m(k), where k pages show the
   block. Text that returns on every page has importance 0, text of its own 1.
 
-The composite importance weighs content ``GAMMA``. Branches of paths with an importance under
-``LOW`` on ``MIN_PAGES`` pages or more are removed from each page, but never
-the greater half of what would otherwise be the main text (a host of near-equal articles keeps them).
+The composite importance weighs content ``GAMMA``. Paths with an importance under
+``LOW`` are removed from each page, from two pages on. As a word or a heading can return on
+a few pages by chance, the path must repeat ``REPEATED`` characters at least (those of all
+showings but each block's first).
+
+Pages that are copies of each other show nothing about their site. A host's paths
+are therefore only removed if its other text differs: counted once for the host, the blocks
+(or the characters) of what stays must be more than those of what goes. How much of a
+single page goes does not matter.
 
 Besides, a page's own markup is read: raw elements (scripts, styles), and
 branches that say by tag, role, class or id that they are menus, headers,
@@ -43,7 +49,7 @@ from revtrace.llm.common import arrow_rows, materialize
 
 GAMMA = 0.9
 LOW = 0.5
-MIN_PAGES = 10
+REPEATED = 24
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -180,36 +186,34 @@ def _hash(s: str) -> int:
     return int.from_bytes(blake2b(s.encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def by_markup(blocks: list[tuple[str, Element]]) -> list[tuple[str, Element]]:
+    """The blocks that the page's own markup leaves."""
+    return [(b, e) for b, e in blocks if e.main] or [(b, e) for b, e in blocks if not e.noise]
+
+
 def main_text(page: str, low: frozenset[int] | set[int] = frozenset()) -> str:
     """The page's main text; ``low`` holds hashes of the host's removed paths."""
-    blocks, _ = parse(page)
-    kept = [(b, e) for b, e in blocks if e.main]
-    if not kept:
-        kept = [(b, e) for b, e in blocks if not e.noise]
+    kept = by_markup(parse(page)[0])
     if low:
-        known: dict[str, bool] = {}
-        stays = []
-        for b, e in kept:
-            if e.path not in known:
-                known[e.path] = _hash(e.path) in low
-            if not known[e.path]:
-                stays.append((b, e))
-        if 2 * sum(len(b) for b, _ in stays) >= sum(len(b) for b, _ in kept):
-            kept = stays
+        known = {p: _hash(p) in low for p in {e.path for _, e in kept}}
+        kept = [(b, e) for b, e in kept if not known[e.path]]
     return "\n".join(b for b, _ in kept)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per page and distinct (path, child labels) or (path, text block)."""
+    """One row per page and distinct (path, child labels) or (path, text block).
+
+    A block has its length, and whether the markup leaves it."""
     known: dict[str, int] = {}
     for batch in batches:
-        count, path, kind, value = [], [], [], []
+        count, path, kind, value, size, left = [], [], [], [], [], []
         for page in batch.column(1).to_pylist():
             blocks, styles = parse(page)
             seen = {(p, False, ",".join(sorted(s))) for p, s in styles.items()}
             seen |= {(e.path, True, b) for b, e in blocks}
             # Paths without child elements have one way to be laid out.
             seen |= {(p, False, "") for p in {e.path for _, e in blocks} - styles.keys()}
+            text = {(e.path, b) for b, e in by_markup(blocks)}
             for p, content, v in seen:
                 if p not in known:
                     if len(known) > 100_000:
@@ -218,35 +222,55 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 path.append(known[p])
                 kind.append(content)
                 value.append(_hash(v))
+                size.append(len(v))
+                left.append(content and (p, v) in text)
             count.append(len(seen))
         rows = pa.array(np.repeat(np.arange(len(count)), count))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(rows), pa.array(path, pa.int64()), pa.array(kind, pa.bool_()), pa.array(value, pa.int64())],
-            ["_host", "_path", "_content", "_value"],
+            [
+                batch.column(0).take(rows), pa.array(path, pa.int64()), pa.array(kind, pa.bool_()), pa.array(value, pa.int64()),
+                pa.array(size, pa.int64()), pa.array(left, pa.bool_()),
+            ],
+            ["_host", "_path", "_content", "_value", "_size", "_left"],
         )
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """Per host and path: pages, presentation, content, importance. ``pages`` has _host and _html."""
-    nodes = pages.select("_host", "_html").mapInArrow(_nodes, "_host string, _path long, _content boolean, _value long")
-    counts = nodes.groupBy("_host", "_path", "_content", "_value").agg(F.count(F.lit(1)).alias("_k"))
-    k, style, content = F.col("_k").cast("double"), ~F.col("_content"), F.col("_content")
+    """Per host and path: pages, presentation, content, importance, and over its distinct blocks: their
+    number, characters shown again, and number and characters of those the markup leaves. ``pages`` has _host and _html."""
+    nodes = pages.select("_host", "_html").mapInArrow(_nodes, "_host string, _path long, _content boolean, _value long, _size long, _left boolean")
+    counts = nodes.groupBy("_host", "_path", "_content", "_value").agg(
+        F.count(F.lit(1)).alias("_k"), F.max("_size").alias("_size"), F.max("_left").alias("_left")
+    )
+    k, style, content, left = F.col("_k").cast("double"), ~F.col("_content"), F.col("_content"), F.col("_left")
     paths = counts.groupBy("_host", "_path").agg(
         F.sum(F.when(style, F.col("_k")).otherwise(0)).alias("pages"),
         F.sum(F.when(style, k * F.log(k)).otherwise(0.0)).alias("_s"),
         F.sum(F.when(content, F.log(k)).otherwise(0.0)).alias("_c"),
         F.sum(content.cast("long")).alias("blocks"),
+        F.sum(F.when(content, (F.col("_k") - 1) * F.col("_size")).otherwise(0)).alias("repeated"),
+        F.sum(left.cast("long")).alias("left_blocks"),
+        F.sum(F.when(left, F.col("_size")).otherwise(0)).alias("left_chars"),
     )
     ln = F.log(F.col("pages").cast("double"))
     some = (F.col("pages") > 1) & (F.col("blocks") > 0)
     paths = paths.select(
-        "_host", "_path", "pages", "blocks",
+        "_host", "_path", "pages", "blocks", "repeated", "left_blocks", "left_chars",
         F.when(F.col("pages") > 1, 1 - F.col("_s") / F.col("pages") / ln).otherwise(1.0).alias("presentation"),
         F.when(some, 1 - F.col("_c") / F.col("blocks") / ln).otherwise(1.0).alias("content"),
     )
     return paths.withColumn("importance", (1 - GAMMA) * F.col("presentation") + GAMMA * F.col("content"))
 
 
+def removed_paths(tree: DataFrame) -> DataFrame:
+    """Per host with any: the paths its pages lose."""
+    low = (F.col("pages") > 1) & (F.col("blocks") > 0) & (F.col("importance") < LOW) & (F.col("repeated") >= REPEATED)
+    sums = [F.sum(F.when(which, F.col(c)).otherwise(0)).alias(f"_{n}_{c}") for n, which in (("own", ~low), ("low", low)) for c in ("left_blocks", "left_chars")]
+    hosts = tree.groupBy("_host").agg(F.collect_list(F.when(low, F.col("_path"))).alias("_low"), *sums)
+    differs = (F.col("_own_left_blocks") > F.col("_low_left_blocks")) | (F.col("_own_left_chars") > F.col("_low_left_chars"))
+    return hosts.where((F.size("_low") > 0) & differs).select("_host", "_low")
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text, n_chars."""
     arrow_rows(df.sparkSession, 500)
@@ -257,8 +281,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         host.alias("_host"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("_html"),
     )
-    removed = style_tree(pages).where((F.col("pages") >= MIN_PAGES) & (F.col("blocks") > 0) & (F.col("importance") < LOW))
-    removed = materialize(removed.groupBy("_host").agg(F.collect_list("_path").alias("_low")), "html-removed-paths")
+    removed = materialize(removed_paths(style_tree(pages)), "html-removed-paths")
     schema = T.StructType(
         [
             T.StructField(id_col, df.schema[id_col].dataType),
