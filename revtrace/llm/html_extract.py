@@ -19,9 +19,13 @@ are therefore only removed if its other text differs: counted once for the host,
 single page goes does not matter.
 
 Besides, a page's own markup is read: raw elements (scripts, styles), and
-branches that say by tag, role, class or id that they are menus, headers,
-footers, sidebars, notices, adverts, forms or comments go; if an article or
-main element is left, the text is what stands in it.
+branches that are menus, footers, asides or hidden by tag or role go. Forms, headers and branches that only
+say by a word of a class or id that they are such, or sidebars, notices, adverts or
+comments, are doubtful, as wrappers of a whole page are named after what
+stands in them too. A doubtful branch stays if it holds a main element, more articles than the page
+has text outside of doubtful branches, or most of the page's text (of the main text, if it stands in it);
+the style tree then judges its paths like any others. If an article or
+main element is left, the text is what stands in it; if nothing is left, the doubtful branches are taken.
 
 The merge is two grouped aggregates with partial sums (a hot host is combined in
 every task first). A page learns its host's removed paths by a join that
@@ -72,36 +76,88 @@ _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tbody", "tfoot"}, "tbody": {"thead", "tbody"}, "body": {"head"},
 }
-_NOISE_TAGS = frozenset("head nav footer aside form button input dialog menu fieldset".split())
-_NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar alertdialog".split())
-#: Words of a class or id that name a branch of no main text.
+_NOISE_TAGS = frozenset("head nav footer aside button input dialog menu".split())
+_DOUBTFUL_TAGS = frozenset(("form", "fieldset"))
+_NOISE_ROLES = frozenset("navigation banner contentinfo complementary dialog alert menu menubar toolbar alertdialog".split())
+_DOUBTFUL_ROLES = frozenset(("form", "search"))
+#: Words of a class or id that name a branch of no main text, or what a wrapper of main text has besides.
 _NOISE_WORDS = frozenset(
-    "nav navbar navigation menu header footer sidebar sidenav aside ad ads advert adverts advertisement advertising sponsor sponsored "
-    "promo promotion banner notice cookie cookies consent gdpr alert popup modal overlay form search login signup subscribe newsletter "
-    "comment comments reply replies disqus share sharing social related breadcrumb breadcrumbs pagination pager widget toolbar skip copyright".split()
+    "nav navbar navigation menu header footer sidebar sidenav aside banner notice alert popup modal overlay form search login signup "
+    "social widget toolbar skip".split()
 )
+#: Such words for branches that can be the longest of a page, or hold articles of their own.
+_OTHER_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr subscribe newsletter "
+    "comment comments reply replies disqus share sharing related breadcrumb breadcrumbs pagination pager copyright".split()
+)
+#: The share of the text above which a branch named by the former words, or by the latter, is the page's body.
+MOST = 0.5
+NEARLY_ALL = 0.9
 _MAIN = frozenset(("article", "main"))
 
 
+class Branch:
+    """A doubtful branch: characters in all, and of articles that begin in it."""
+
+    __slots__ = ("articles", "chars", "holds_main", "in_main", "most")
+
+    def __init__(self, most: float, in_main: bool):
+        self.most, self.in_main, self.chars, self.articles, self.holds_main = most, in_main, 0, 0, False
+
+
 class Element:
-    __slots__ = ("children", "main", "noise", "path", "tag")
+    """``noise`` and ``main`` are final when the page is parsed; ``doubt`` has the doubtful branches around.
+
+    ``around_article`` and ``around_main`` are those around the outermost article or main element the element stands in."""
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main, self.children = tag, path, noise, main, set()
+    __slots__ = ("around_article", "around_main", "doubt", "main", "noise", "path", "plain", "tag")
 
+    def __init__(self, tag: str, path: str, noise: bool, main: bool, doubt: tuple[Branch, ...] = ()):
+        self.tag, self.path, self.noise, self.main, self.doubt = tag, path, noise, main, doubt
+        self.plain = not noise
+        self.around_article = self.around_main = ()
 
-def _attributes(tag: str, attrs: str) -> tuple[str, bool, bool]:
-    """The element's label, whether it calls itself noise, and whether main."""
+
+def _attributes(tag: str, attrs: str) -> tuple[str, bool, float, bool, bool]:
+    """The element's label, whether it is noise, the share a doubtful one needs (0: no doubt), whether it is an article or main, and main."""
     if not attrs or attrs.isspace():
-        return tag, tag in _NOISE_TAGS, tag in _MAIN
+        return tag, tag in _NOISE_TAGS, MOST if tag in _DOUBTFUL_TAGS else 0, tag in _MAIN, tag == "main"
     got = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
     names = sorted(set(_NAME.findall(got.get("class", "")))) + sorted(set(_NAME.findall(got.get("id", ""))))
     words = {n.lower() for n in names}
     role = got.get("role", "").lower()
     hidden = got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "") or re.search(r"\bhidden\b", _ATTR.sub("", attrs))
     main = (tag in _MAIN or role == "main") and not words & {"comment", "comments", "reply"}
-    noise = tag in _NOISE_TAGS or role in _NOISE_ROLES or bool(hidden) or bool(words & _NOISE_WORDS and tag not in ("html", "body") and not main)
-    return ".".join([tag, *names]), noise, main
+    noise = tag in _NOISE_TAGS or role in _NOISE_ROLES or bool(hidden)
+    named = tag not in ("html", "body") and not main
+    if named and words & _OTHER_WORDS:
+        most = NEARLY_ALL
+    else:
+        most = MOST if named and words & _NOISE_WORDS or tag in _DOUBTFUL_TAGS or role in _DOUBTFUL_ROLES else 0
+    return ".".join([tag, *names]), noise, most, main, main and (tag == "main" or role == "main")
+
+
+def _decide(blocks: list[tuple[str, Element]]) -> None:
+    """Settle the doubtful branches of a page."""
+    if not any(e.doubt for _, e in blocks):
+        return
+    total = main = sure = 0
+    for b, e in blocks:
+        if e.plain:
+            total += len(b)
+            main += len(b) if e.main else 0
+            sure += 0 if e.doubt else len(b)
+            for branch in e.doubt:
+                branch.chars += len(b)
+            for branch in e.around_article:
+                branch.articles += len(b)
+            for branch in e.around_main:
+                branch.holds_main = True
+    for _, e in blocks:
+        for branch in e.doubt:
+            stays = branch.holds_main or branch.chars > branch.most * (main if branch.in_main else total)
+            if not stays and not (branch.most == MOST and branch.articles > sure):
+                e.noise, e.main = True, False
 
 
 def parse(page: str) -> tuple[list[tuple[str, Element]], dict[str, set[str]]]:
@@ -166,7 +222,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], dict[str, set[str]]]:
                     break
         elif tag == "br":
             text.append(" ")
-        label, noise, main = _attributes(tag, m["attrs"])
+        label, noise, most, main, holds_main = _attributes(tag, m["attrs"])
         top = stack[-1]
         if not inline:
             styles.setdefault(top.path, set()).add(label)
@@ -174,11 +230,16 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], dict[str, set[str]]]:
             continue
         path = top.path if inline else f"{top.path}/{label}"
         if tag == "header" and not top.main:
-            noise = True
-        stack.append(Element(tag, path, top.noise or noise, (top.main or main) and not (top.noise or noise)))
+            most = most or MOST
+        noise = noise or top.noise
+        element = Element(tag, path, noise, (top.main or main) and not noise, (*top.doubt, Branch(most, top.main)) if most else top.doubt)
+        element.around_article = top.around_article or (top.doubt if main and not top.main else ())
+        element.around_main = top.around_main or (top.doubt if holds_main else ())
+        stack.append(element)
     if pos < len(page):
         text.append(page[pos:])
     flush()
+    _decide(blocks)
     return blocks, styles
 
 
@@ -188,7 +249,11 @@ def _hash(s: str) -> int:
 
 def by_markup(blocks: list[tuple[str, Element]]) -> list[tuple[str, Element]]:
     """The blocks that the page's own markup leaves."""
-    return [(b, e) for b, e in blocks if e.main] or [(b, e) for b, e in blocks if not e.noise]
+    return (
+        [(b, e) for b, e in blocks if e.main]
+        or [(b, e) for b, e in blocks if not e.noise]
+        or [(b, e) for b, e in blocks if e.plain and all(branch.most == MOST for branch in e.doubt)]
+    )
 
 
 def main_text(page: str, low: frozenset[int] | set[int] = frozenset()) -> str:

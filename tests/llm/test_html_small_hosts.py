@@ -40,3 +40,36 @@ def test_style_tree_keeps_copies_of_one_page_and_single_words(spark):
     for k in range(2):
         assert got[f"near{k}"] == f"{text}\n{k}"
         assert got[f"word{k}"] == f"Overview\nArticle {k} has the words {k}"
+
+
+ARTICLE = "<p>The article has one sentence.</p><p>And a second one, after it.</p>"
+TEXT = "The article has one sentence.\nAnd a second one, after it."
+
+
+def test_noisy_wrappers_of_the_whole_page_keep_their_article():
+    for inner in (ARTICLE, f"<main>{ARTICLE}</main>", f"<article>{ARTICLE}</article>", f"<main><div class='content-sidebar-wrap'>{ARTICLE}</div></main>"):
+        for wrapper in (
+            "<form id='aspnetForm' action='x'>{}</form>", "<div class='content-sidebar-wrap'>{}</div>", "<div class='layout has-sidebar'>{}</div>",
+            "<div id='search-result-page'>{}</div>", "<form><div class='no-comments page'><div class='social header'>{}</div></div></form>",
+        ):
+            side = "<nav>Home</nav><footer>Imprint</footer>"
+            assert html_extract.main_text(f"<body>{wrapper.format(inner)}{side}</body>") == TEXT, (wrapper, inner)
+            beside = f"{inner}<div class='sidebar'><p>Teaser</p></div>"
+            assert html_extract.main_text(f"<body>{wrapper.format(beside)}{side}</body>") == TEXT, (wrapper, inner)
+    # a main element counts, however short, and halves are not both dropped
+    long = "<div>" + "<p>link to another page</p>" * 20 + "</div>"
+    assert html_extract.main_text(f"<div class='layout has-sidebar'><main>{ARTICLE}</main></div>{long}") == TEXT
+    assert html_extract.main_text("<div class='header'>One half</div><form>The rest</form>") == "One half\nThe rest"
+
+
+def test_noisy_branches_beside_the_article_still_go():
+    comments = "<section class='comments'>" + "<article><p>I do not think so at all.</p></article>" * 5 + "</section>"
+    teasers = "<div class='related'><article>Another article</article></div><div class='sidebar'><article>And one more</article></div>"
+    for page in (
+        f"<article>{ARTICLE}{comments}</article>{teasers}",
+        f"<main>{ARTICLE}</main>{comments}{teasers}",
+        f"<div>{ARTICLE}</div>{comments}{teasers}",
+        f"<div>{ARTICLE}</div><aside><article>Aside</article></aside><form><p>Your name</p></form><header>Site</header>",
+        f"<form id='aspnetForm'><article>{ARTICLE}</article><div class='search'>Search here</div></form>",
+    ):
+        assert html_extract.main_text(page) == TEXT, page
