@@ -18,7 +18,7 @@ are therefore only removed if its other text differs: counted once for the host,
 (or the characters) of what stays must be more than those of what goes. How much of a
 single page goes does not matter.
 
-Besides, a page's own markup is read: raw elements (scripts, styles), and
+Besides, a page's own markup is read: raw elements (scripts, styles, drawings; of a formula, the notes that say it again), and
 branches that are menus, footers, asides or hidden by tag or role go. Forms, headers and branches that only
 say by a word of a class or id that they are such, or sidebars, notices, adverts or
 comments, are doubtful, as wrappers of a whole page are named after what
@@ -57,7 +57,8 @@ REPEATED = 24
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|select|object|xmp)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|annotation|annotation-xml|select|object|xmp)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     r".*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>",
@@ -67,10 +68,15 @@ _ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", r
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: The elements of a formula: inline, and ended at once by a slash.
+_FORMULA = frozenset(
+    "math semantics mrow mi mo mn ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts mtable mtr mtd".split()
+)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub "
     "sup time tt u var wbr br".split()
-)
+) | _FORMULA
 #: A start tag that ends an open element of these.
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -226,7 +232,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], dict[str, set[str]]]:
         top = stack[-1]
         if not inline:
             styles.setdefault(top.path, set()).add(label)
-        if tag in _VOID or m["attrs"].rstrip().endswith("/") and tag in ("br", "hr", "img", "input"):
+        if tag in _VOID or m["attrs"].rstrip().endswith("/") and tag in _FORMULA:
             continue
         path = top.path if inline else f"{top.path}/{label}"
         if tag == "header" and not top.main:

@@ -73,3 +73,15 @@ def test_noisy_branches_beside_the_article_still_go():
         f"<form id='aspnetForm'><article>{ARTICLE}</article><div class='search'>Search here</div></form>",
     ):
         assert html_extract.main_text(page) == TEXT, page
+
+
+def test_self_closed_drawings_and_formulas():
+    for page, text in (
+        ("<p>a</p><svg class=icon/><p>b</p><svg><text>no</text></svg><p>c</p>", "a\nb\nc"),
+        ("<p>a <svg viewBox='0 0 1 1' />b</p><svg\n/><p>c</p>", "a b\nc"),
+        ("<svg><title>no</title><path d='M0'/></svg><p>a</p>", "a"),
+        ("<svg data-x='/'>no</svg><p>a</p>", "a"),
+        ("<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><math/><p>b</p>", "As x=2 holds\nb"),
+        ("<p>As <math display='block'><semantics><mrow><mi>x</mi><mspace/></mrow><annotation encoding='tex'>x</annotation></semantics></math></p><p>b</p>", "As x\nb"),
+    ):
+        assert html_extract.main_text(page) == text, page
