@@ -11,7 +11,10 @@ one row agree: that happens with probability 1 - (1 - 0.17)**80 > 0.9999996.
 single row already means a shared shingle, so there are few false candidates.)
 
 A candidate is a match if at least ``CONTAINMENT`` of the template's distinct
-shingles stand in the window, all in one document. Matches of one licence that overlap are one span.
+shingles stand in the window. If not, its two neighbouring blocks are read too, without the matches found before:
+inserted words (a holder's name, page headers, line numbers) can spread a passage over up to 3 L + 1
+shingles. Matches of one licence that overlap are one span. Blocks start
+anew at every document, so the result depends on its text alone.
 
 Documents are scanned where they are read, without a shuffle; the templates are a
 parameter and travel with the tasks (their number bounds their size).
@@ -60,44 +63,76 @@ class Library:
         # The band values: for each band and template, the largest product of its shingles.
         self.bands = np.array([[(s * odd).max() for s in self.shingles] for odd in self.odd])
 
-    def candidates(self, shingles: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(template, from, to) of the windows that agree in a band. Shingle 0 means none."""
+    def candidates(self, shingles: np.ndarray, begin: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(template, document, block size, block) of the windows that agree in a band; a window is a block and the next.
+
+        The documents have ``count`` shingles, one at least, from ``begin`` on; what lies between them is 0."""
         sizes = sorted(self.by_size)
+        # Per size: where its blocks begin among those of half the size (the least: among shingles), how many each document has.
+        levels, size, above, inside = [], sizes[0], begin, None
+        while size <= sizes[-1]:
+            n = -(-count // size)
+            ends = np.cumsum(n)
+            inside = np.arange(ends[-1]) - np.repeat(ends - n, n)
+            levels.append((size, np.repeat(above, n) + inside * (2 if levels else size), n, inside))
+            size, above = size * 2, ends - n
         found = {k: [] for k in range(len(self.names))}
         for band, odd in enumerate(self.odd):
-            values = shingles * odd
-            least = sizes[0]
-            blocks = np.maximum.reduceat(values, np.arange(0, len(values), least))
-            for size in sizes:
-                while least < size:
-                    blocks = np.maximum(blocks[::2], np.append(blocks[1::2], np.zeros(len(blocks) % 2, np.uint64)))
-                    least *= 2
-                window = np.maximum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
+            blocks = shingles * odd
+            for size, at, n, inside in levels:
+                blocks = np.maximum.reduceat(blocks, at)
+                if size not in self.by_size:
+                    continue
+                window = blocks.copy()
+                # A document's last block is a window of its own only if it has no other.
+                np.maximum(blocks[:-1], blocks[1:], out=window[:-1], where=inside[1:] > 0)
+                window[(inside > 0) & np.append(inside[1:] == 0, True)] = 0
                 for k in self.by_size[size]:
-                    at = np.flatnonzero(window == self.bands[band, k])
-                    if len(at):
-                        found[k].append(at)
-        for size in sizes:
-            for k in self.by_size[size]:
-                for w in np.unique(np.concatenate(found[k])).tolist() if found[k] else []:
-                    yield k, w * size, min((w + 2) * size, len(shingles))
+                    hit = np.flatnonzero(window == self.bands[band, k])
+                    if len(hit):
+                        found[k].append(hit)
+        for size, _, n, inside in levels:
+            for k in self.by_size.get(size, ()):
+                if found[k]:
+                    hits = np.unique(np.concatenate(found[k]))
+                    docs = np.searchsorted(np.cumsum(n), hits, "right")
+                    for d, w in zip(docs.tolist(), inside[hits].tolist(), strict=True):
+                        yield k, d, size, w
 
     def matches(self, piece: Piece) -> Iterator[tuple[int, str, int, int, float]]:
         """(document, licence, start byte, end byte, containment), counted from the piece's start."""
         starts, ends, first = spans(piece, PUNCTUATION)
         shingles = windows(hashes(piece.data, starts, ends, fold=True), WIDTH)
-        if not len(shingles):
+        count = np.diff(first) - WIDTH + 1
+        docs = np.flatnonzero(count > 0)
+        if not len(docs):
             return
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
         shingles = np.where(doc[: len(shingles)] == doc[WIDTH - 1 :], shingles, np.uint64(0))
-        for k, a, b in self.candidates(shingles):
-            want = self.shingles[k]
-            at = a + np.flatnonzero(np.isin(shingles[a:b], want))
-            for d in np.unique(doc[at]).tolist():
-                mine = at[doc[at] == d]
-                share = len(np.unique(shingles[mine])) / len(want)
-                if share >= CONTAINMENT:
-                    yield d, self.names[k], int(starts[mine[0]]), int(ends[mine[-1] + WIDTH - 1]), share
+        begin, count = first[:-1][docs], count[docs]
+
+        def held(k: int, d: int, a: int, b: int) -> np.ndarray:
+            """Where the document's shingles from a up to b are the template's."""
+            a, b = int(begin[d]) + max(a, 0), int(begin[d] + min(b, count[d]))
+            return a + np.flatnonzero(np.isin(shingles[a:b], self.shingles[k]))
+
+        whole: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        spread = []
+        for k, d, size, w in self.candidates(shingles, begin, count):
+            at = held(k, d, w * size, (w + 2) * size)
+            share = len(np.unique(shingles[at])) / len(self.shingles[k])
+            if share >= CONTAINMENT:
+                whole.setdefault((k, d), []).append((int(at[0]), int(at[-1])))
+                yield int(docs[d]), self.names[k], int(starts[at[0]]), int(ends[at[-1] + WIDTH - 1]), share
+            else:
+                spread.append((k, d, size, w))
+        for k, d, size, w in spread:
+            at = held(k, d, (w - 1) * size, (w + 3) * size)
+            for a, b in whole.get((k, d), ()):
+                at = at[(at < a) | (at > b)]
+            share = len(np.unique(shingles[at])) / len(self.shingles[k])
+            if share >= CONTAINMENT:
+                yield int(docs[d]), self.names[k], int(starts[at[0]]), int(ends[at[-1] + WIDTH - 1]), share
 
 
 def _merged(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
