@@ -3,8 +3,9 @@
 Environment:
   BENCH_SF_DIR   test-table folder (default /root/testdata/sf0.1)
   BENCH_CPUS     local[N] cores (default 8)
-  BENCH_RUNS     timed runs per query after one warm-up (default 5)
+  BENCH_RUNS     timed runs per query after one warm-up (default 3)
   BENCH_DUCKDB   1 to also time the DuckDB oracle SQL as a reference point
+  BENCH_DUCKDB_LIMIT  seconds after which one DuckDB query is interrupted (default 20)
 
 Each Spark query is forced with the ``noop`` sink (full execution, no
 collect). ``value`` is the sum of the per-query medians of the headline
@@ -13,15 +14,17 @@ each deriving its domain tables from the test tables on the fly (what the
 registered queries do). ``stored_domain`` times the same operators over
 the domain written once as Parquet, as a deployment would hold it;
 ``stored_domain_lot_bucketed`` does so with the four lot-keyed tables
-bucketed by lot id.
+bucketed by lot id. A run that is terminated prints what it has measured.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import signal
 import statistics
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,7 +45,7 @@ EXTRA = ["check_primary_key", "transport_unified", "ingest_lot_devices"]
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     with_duckdb = os.environ.get("BENCH_DUCKDB", "1") == "1"
 
     from revtrace.plans.oracle import oracle_sql
@@ -64,9 +67,27 @@ def main() -> None:
         return time.perf_counter() - t0
 
     timings: dict[str, float] = {}
+    out = {
+        "metric": "sum_median_sec_headline",
+        "value": None,
+        "unit": "sec",
+        "queries": timings,
+        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "runs": runs,
+        "cpus": cpus,
+        "spark": spark.version,
+        "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
+    }
+
+    def terminated(signum, frame):
+        print(json.dumps(out | {"terminated": True}), flush=True)
+        os._exit(0 if out["value"] is not None else 1)
+
+    signal.signal(signal.SIGTERM, terminated)
     for key in HEADLINE:
         run_spark(key)  # warm-up: JIT, file listing, metadata caches
         timings[key] = round(statistics.median(run_spark(key) for _ in range(runs)), 3)
+    out["value"] = round(sum(timings[k] for k in HEADLINE), 3)
     for key in EXTRA:  # not in the headline: one warm run each
         timings[key] = round(run_spark(key), 3)
 
@@ -118,43 +139,43 @@ def main() -> None:
     bucket_sec = round(time.perf_counter() - t0, 3)
     bucketed_timings = time_ops(stored_ops(bucketed))
 
-    duck: dict[str, float] = {}
+    out["stored_domain"] = {"stage_sec": stage_sec, "queries": stored_timings}
+    out["stored_domain_lot_bucketed"] = {
+        "write_sec": bucket_sec,
+        "buckets": buckets,
+        "queries": bucketed_timings,
+    }
     if with_duckdb:
-        from revtrace.plans.crosscheck import duckdb_connection
-
-        con = duckdb_connection(sf_dir)
-        con.execute(f"SET threads = {cpus}")
-        for key in HEADLINE + EXTRA:
-            if key not in sql:
-                continue
-            con.execute(sql[key]).fetchall()
-            ts = []
+        out["duckdb_reference_sec"] = time_duckdb(sf_dir, cpus, runs, {k: sql[k] for k in HEADLINE + EXTRA if k in sql})
+    print(json.dumps(out))
+
+
+def time_duckdb(sf_dir: str, cpus: int, runs: int, sql: dict[str, str]) -> dict[str, float | str]:
+    """Median seconds per key; a key over the limit is interrupted and says so."""
+    import duckdb
+
+    from revtrace.plans.crosscheck import duckdb_connection
+
+    limit = float(os.environ.get("BENCH_DUCKDB_LIMIT", "20"))
+    con = duckdb_connection(sf_dir)
+    con.execute(f"SET threads = {cpus}")
+    duck: dict[str, float | str] = {}
+    for key, statement in sql.items():
+        timer = threading.Timer(limit, con.interrupt)
+        timer.start()
+        try:
+            con.execute(statement).fetchall()
+            times = []
             for _ in range(runs):
                 t0 = time.perf_counter()
-                con.execute(sql[key]).fetchall()
-                ts.append(time.perf_counter() - t0)
-            duck[key] = round(statistics.median(ts), 3)
-
-    sf = os.path.basename(sf_dir).replace("sf", "")
-    out = {
-        "metric": "sum_median_sec_headline",
-        "value": round(sum(timings[k] for k in HEADLINE), 3),
-        "unit": "sec",
-        "queries": timings,
-        "sf": sf,
-        "runs": runs,
-        "cpus": cpus,
-        "spark": spark.version,
-        "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-        "stored_domain": {"stage_sec": stage_sec, "queries": stored_timings},
-        "stored_domain_lot_bucketed": {
-            "write_sec": bucket_sec,
-            "buckets": buckets,
-            "queries": bucketed_timings,
-        },
-        "duckdb_reference_sec": duck,
-    }
-    print(json.dumps(out))
+                con.execute(statement).fetchall()
+                times.append(time.perf_counter() - t0)
+            duck[key] = round(statistics.median(times), 3)
+        except duckdb.InterruptException:
+            duck[key] = f"over {limit:g} s"
+        finally:
+            timer.cancel()
+    return duck
 
 
 if __name__ == "__main__":

@@ -622,21 +622,34 @@ keyed_lots AS (
 counted_lots AS (
   SELECT *, COUNT(*) OVER (PARTITION BY id) AS n_id, COUNT(*) OVER (PARTITION BY nk) AS n_nk
   FROM keyed_lots),
+beside_lots AS (
+  SELECT a.submit_seq AS a, b.submit_seq AS b FROM counted_lots a JOIN counted_lots b ON a.id = b.id
+  WHERE a.n_id > 1
+  UNION
+  SELECT a.submit_seq, b.submit_seq FROM counted_lots a JOIN counted_lots b ON a.nk = b.nk
+  WHERE a.n_nk > 1),
+reach_lots AS (
+  SELECT a, b FROM beside_lots
+  UNION
+  SELECT r.a, n.b FROM reach_lots r JOIN beside_lots n ON n.a = r.b),
 turn_lots AS (
-  SELECT *, row_number() OVER (ORDER BY submit_seq) AS rn
-  FROM counted_lots WHERE n_id > 1 OR n_nk > 1),
+  SELECT c.submit_seq, c.id, c.nk, g.comp,
+         row_number() OVER (PARTITION BY g.comp ORDER BY c.submit_seq) AS rn
+  FROM counted_lots c
+  JOIN (SELECT a, MIN(b) AS comp FROM reach_lots GROUP BY a) g ON g.a = c.submit_seq),
 walk_lots AS (
-  SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS ids, CAST([] AS VARCHAR[]) AS nks,
-         CAST(NULL AS BIGINT) AS taken
+  SELECT DISTINCT comp, CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS ids,
+         CAST([] AS VARCHAR[]) AS nks, CAST(NULL AS BIGINT) AS taken
+  FROM turn_lots
   UNION ALL
-  SELECT t.rn,
+  SELECT t.comp, t.rn,
          CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN w.ids
               ELSE list_append(w.ids, t.id) END,
          CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN w.nks
               ELSE list_append(w.nks, t.nk) END,
          CASE WHEN list_contains(w.ids, t.id) OR list_contains(w.nks, t.nk) THEN NULL
               ELSE t.submit_seq END
-  FROM walk_lots w JOIN turn_lots t ON t.rn = w.rn + 1),
+  FROM walk_lots w JOIN turn_lots t ON t.comp = w.comp AND t.rn = w.rn + 1),
 acc_lots AS (
   SELECT * FROM counted_lots
   WHERE (n_id = 1 AND n_nk = 1) OR submit_seq IN (SELECT taken FROM walk_lots)),

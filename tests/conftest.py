@@ -7,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from revtrace.session import get_session  # noqa: E402
 
-SMALL_SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -43,7 +41,3 @@ def no_broadcast(spark):
             spark.conf.unset(k)
         else:
             spark.conf.set(k, v)
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

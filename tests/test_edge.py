@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from revtrace.operators import quality, reports
 from revtrace.sources.fixtures import SEED_ROWS, seed_domain
 

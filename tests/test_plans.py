@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL_SF
+from support import SMALL_SF
 from revtrace.plans.registry import queries
 
 FORBIDDEN = (

@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from conftest import rows
+from support import rows
 from revtrace.operators import listings, reports
 
 

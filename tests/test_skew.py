@@ -4,7 +4,7 @@ import datetime as dt
 from collections import defaultdict
 from decimal import Decimal
 
-from conftest import rows
+from support import rows
 from revtrace.operators import reports
 from revtrace.sources.fixtures import SEED_ROWS, seed_domain
 

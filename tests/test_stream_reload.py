@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF, rows
+from support import SMALL_SF, rows
 from revtrace.operators import ingest
 from revtrace.plans import reload
 from revtrace.session import shared_dir
