@@ -327,7 +327,8 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
     for k in range(30):
         assert got[k] == "\n".join(f"Paragraph {k} {j} with words of its own" for j in range(4))
-    assert got[100].startswith("Same box")
+    for k in range(3):  # three pages of a host are enough to tell
+        assert got[100 + k] == "\n".join(f"Paragraph {k} {j} with words of its own" for j in range(4))
     # a host whose articles are all copies keeps them
     same = spark.createDataFrame([(k, "https://same.example/", body.format(text(0))) for k in range(30)], df.schema)
     assert all("Paragraph 0 3" in r.text for r in html_extract.extract(same).collect())
