@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrace.llm import bpe, decontaminate, exact_dedup, html_extract, langid, license_scan, near_dup, secrets, substring_dedup, suffix_dedup
+from revtrace.llm import bpe, decontaminate, divergence, exact_dedup, html_extract, langid, license_scan, near_dup, secrets, spelling, substring_dedup, suffix_dedup, url_filter
 from revtrace.llm.common import read_table
 
 
@@ -56,8 +56,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(read_table(spark, sf_dir, "pages"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_secret_scan, op3_license_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id, op8_suffix_array_dedup, op9_minhash_near_dedup, op10_html_extraction]
+    found = [
+        op1_exact_dedup, op2_secret_scan, op3_license_scan, op4_substring_dedup, op5_benchmark_decontamination, op6_byte_bpe, op7_language_id,
+        op8_suffix_array_dedup, op9_minhash_near_dedup, op10_html_extraction, op11_url_filter, op12_spelling_variants, op13_source_divergence,
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -67,4 +82,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_secret_scan": secrets.ORACLE_SQL,
         "op4_substring_dedup": substring_dedup.ORACLE_SQL,
         "op9_minhash_near_dedup": near_dup.ORACLE_SQL,
+        "op11_url_filter": url_filter.ORACLE_SQL,
+        "op12_spelling_variants": spelling.ORACLE_SQL,
+        "op13_source_divergence": divergence.ORACLE_SQL,
     }
