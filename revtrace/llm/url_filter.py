@@ -176,9 +176,10 @@ def _sql() -> str:
     path = lambda c: f"coalesce(regexp_extract({c}, {url}, 2), '')"
     query = lambda c: f"replace(regexp_extract({c}, {url}, 3) || '|', '?|', '|')"
     node = lambda c: f"CASE WHEN contains({c}, '://') THEN {host(c)} || CASE {path(c)} WHEN '' THEN '/' ELSE {path(c)} END || {query(c)} END"
+    attribute = r"""(?is)\sNAME\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     value = lambda name: (
-        rf"replace(regexp_replace(regexp_extract(tag, '(?is)\s{name}\s*=\s*(""[^""]*""|''[^'']*''|[^\s""''>]+)', 1), '^[""'']|[""'']$', '', 'g'), '&amp;', '&')"
-    ).replace('""', '"')
+        f"replace(regexp_replace(regexp_extract(tag, {quote(attribute.replace('NAME', name))}, 1), '^[\"'']|[\"'']$', '', 'g'), '&amp;', '&')"
+    )
     values = ", ".join(f"({quote(r.verdict)}, {quote(r.host)}, {quote(r.path)})" for r in RULES)
     hidden = quote(r"(?is)<!--.*?(?:-->|\z)|<(?:script|style|textarea)\b.*?(?:</(?:script|style|textarea)\s*>|\z)")
     return rf"""
