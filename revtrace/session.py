@@ -99,6 +99,12 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder of the shared storage is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to a fresh shared folder and return it read back.
 
