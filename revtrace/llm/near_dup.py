@@ -6,20 +6,27 @@
    random order until one is filled). Equal sets are one *class*: copies never
    multiply edges.
 2. *Buckets.* ``BANDS`` bands of ``ROWS`` minima. Sets with a similarity of 0.75
-   share a bucket with probability 1 - (1 - 0.75**5)**40 = 0.99998.
+   share a bucket with probability 1 - (1 - 0.75**5)**40 = 0.99998. Minima of small sets depend on each
+   other, so sets of up to ``SMALL`` shingles also have an exact path: similar sets share one
+   of their n - ceil(0.75 n) + 1 smallest hashes, and each of these is a bucket.
 3. *Star edges.* In every bucket one class is the centre, the one whose
    buckets are fullest, and each other member is compared with it only. Links are
    confirmed on full sets: 100 * intersection >= 75 * union.
-4. *No link is lost.* Buckets whose members still lie in different components get
-   further rounds: members of different components are compared. One round compares
+4. *No link is lost.* In buckets whose members still lie in different components, the full
+   sets say exactly who can still link. Of members u and v, with centre h, the common
+   shingles lie in h, less what u or v lacks of it (counted by a bit set, never too many), or outside,
+   at most the smaller number of those that some other partner of h has outside h too. A member that no set
+   of the bucket's sizes could reach leaves; in a group of near copies with edits of their own that is
+   every one that its centre does not reach. The rest gets further rounds: members of different
+   components are compared where this bound allows a link. One round compares
    at most ``PAIRS_PER_DOCUMENT`` pairs per document of the input; if more are left, a random share of each
    bucket's members (at least one) are the centres of the round, meet all
    others, and leave. A bucket is done when its members are one component or all pairs across
    components were compared, so the components are those of all candidate pairs.
 
    Pairs are first compared by their signatures, four bits of each of the 200 minima:
-   at a similarity of 0.75 fewer than ``SURE`` agree with a probability below 1e-9. Full
-   sets are fetched for what remains.
+   fewer than six standard deviations below what a similarity of 0.75 gives are not compared in full.
+   The deviation grows as sets get smaller (fewer bins are their own); sets of a dozen shingles are always compared.
 5. *Components.* Rounds of large-star and small-star on the confirmed edges, as
    joins and grouped minima, each written to the shared checkpoint folder.
 
@@ -44,8 +51,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revtrace.llm.common import arrow_rows, carried, keyed, materialize, text_of
-from revtrace.llm.segments import BITS, bitmaps, marked
 from revtrace.llm.words import mix, pieces, shingle_sets
+from revtrace.operators import graph
+from revtrace.session import discard
 
 WIDTH = 5
 PERCENT = 75
@@ -53,9 +61,12 @@ BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 #: So many signatures per document of the input are compared in one round.
 PAIRS_PER_DOCUMENT = 16
-#: Pairs with fewer equal minima than this (of BINS, by four bits) are not compared in full.
-SURE = 112
+#: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
+SMALL = 32
+#: Standard deviations below the expected number of equal minima.
+SURE = 6
 _LONGS = 13
+_WORDS = 16
 
 _EDGES = np.array([(k << 64) // BINS for k in range(BINS)], np.uint64)
 _TRIES = 4096
@@ -99,6 +110,12 @@ def bands(minima: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def smallest(shingles: np.ndarray) -> np.ndarray:
+    """The hashes of a small sorted set of which a similar set must share one; none for larger sets."""
+    n = len(shingles)
+    return shingles[: n - -(-n * PERCENT // 100) + 1 if n <= SMALL else 0].view(np.int64)
+
+
 def packed(minima: np.ndarray) -> np.ndarray:
     """Four bits of each minimum, sixteen to a long."""
     bits = np.zeros(16 * _LONGS, np.uint64)
@@ -117,6 +134,14 @@ def _agree(a: str, b: str):
     return F.lit(BINS) - total
 
 
+def _may_link(a: str, b: str, na: str, nb: str):
+    """Whether two signatures leave room for a link, for sets of these sizes."""
+    own = F.lit(float(BINS)) * (F.lit(1.0) - F.exp(-F.least(na, nb) / F.lit(float(BINS))))  # bins filled
+    share = PERCENT / 100
+    expected = BINS * (share + (1 - share) / 16)
+    return _agree(a, b) >= F.lit(expected) - F.lit(SURE * BINS * (share * (1 - share)) ** 0.5) / F.sqrt(own)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch.column(2)):
@@ -125,7 +150,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 minima = signature(s) if len(s) else None
-                keys.append(bands(minima) if len(s) else None)
+                keys.append(np.concatenate((bands(minima), smallest(s))) if len(s) else None)
                 short.append(packed(minima) if len(s) else None)
             ids = [c.slice(piece.first, piece.last - piece.first) for c in batch.columns[:2]]
             yield pa.RecordBatch.from_arrays(
@@ -134,20 +159,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(wanted):
-    """Shingle sets of the documents whose text hash is marked in a bitmap."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(wanted.value, np.uint8)
-        for batch in batches:
-            hashes = batch.column(1).to_numpy().view(np.uint64)
-            batch = batch.filter(pa.array(marked(bits, hashes)))
-            for piece in pieces(batch.column(2)):
-                found = [s.view(np.int64) for s in shingle_sets(piece, WIDTH)]
-                keys = [c.slice(piece.first, piece.last - piece.first) for c in batch.columns[:2]]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(found, pa.list_(pa.int64()))], ["_id", "_h", "_shingles"])
-
-    return sets
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_set, _shingles) from (_set, _text)."""
+    for batch in batches:
+        for piece in pieces(batch.column(1)):
+            found = [s.view(np.int64) for s in shingle_sets(piece, WIDTH)]
+            name = batch.column(0).slice(piece.first, piece.last - piece.first)
+            yield pa.RecordBatch.from_arrays([name, pa.array(found, pa.list_(pa.int64()))], ["_set", "_shingles"])
 
 
 def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -174,6 +192,7 @@ def bucket_members(docs: DataFrame) -> DataFrame:
     """
     classes = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_n", "_bands")).alias("_c"))
     rows = classes.select("_set", F.col("_c._n").alias("_n"), F.posexplode("_c._bands").alias("_band", "_bucket"))
+    rows = rows.withColumn("_band", F.least("_band", F.lit(BANDS)))  # hashes of small sets are one band
     counts = rows.groupBy("_band", "_bucket").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
     shared = materialize(rows.join(counts, ["_band", "_bucket"]), "near-dup-buckets")
     score = shared.groupBy("_set").agg(F.sum("_size").alias("_score"))
@@ -181,77 +200,93 @@ def bucket_members(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(_set, _sig) of every class that shares a bucket."""
-    one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min("_sig").alias("_sig"))
-    return materialize(one.join(members.select("_set").distinct(), "_set", "left_semi"), "near-dup-signatures")
+    """(_set, _sig, _n) of every class that shares a bucket."""
+    one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_sig", "_n")).alias("_s"))
+    one = one.join(members.select("_set").distinct(), "_set", "left_semi")
+    return materialize(one.select("_set", F.col("_s._sig").alias("_sig"), F.col("_s._n").alias("_n")), "near-dup-signatures")
 
 
 def full_sets(df: DataFrame, docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_set, _shingles) of every class in a pair, from the whole text of one of its documents.
 
-    A bitmap of fixed size picks the documents; only their sets are shuffled.
+    The documents asked for are a table of keys: broadcast where it is below the session's
+    threshold, else joined by a shuffle of the texts.
     """
     one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_id", "_h")).alias("_d"))
     asked = pairs.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
     one = one.join(asked, "_set", "left_semi").select("_set", F.col("_d._id").alias("_did"), F.col("_d._h").alias("_dh"))
     one = materialize(one, "near-dup-asked")
-    spark = df.sparkSession
-    (bits,) = bitmaps(one.select(F.col("_dh").alias("_key")), [F.lit(True)])
-    wanted = spark.sparkContext.broadcast(bits or bytes(BITS // 8))
-    schema = T.StructType(
-        [
-            T.StructField("_id", df.schema[id_col].dataType),
-            T.StructField("_h", T.LongType()),
-            T.StructField("_shingles", T.ArrayType(T.LongType())),
-        ]
-    )
-    rows = keyed(df, id_col, text_col).mapInArrow(_sets(wanted), schema)
-    rows = one.join(rows, F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dh") == F.col("_h")))
-    return materialize(rows.select("_set", "_shingles").dropDuplicates(["_set"]), "near-dup-sets")
+    rows = keyed(df, id_col, text_col).join(one, F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dh") == F.col("_h")))
+    schema = T.StructType([T.StructField("_set", T.BinaryType()), T.StructField("_shingles", T.ArrayType(T.LongType()))])
+    rows = rows.select("_set", "_text").mapInArrow(_sets, schema)
+    sets = materialize(rows.dropDuplicates(["_set"]), "near-dup-sets")
+    discard(one)
+    return sets
 
 
 def alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """The distinct pairs (_a, _b) whose signatures leave room for a link: written once."""
-    left = sigs.select(F.col("_set").alias("_a"), F.col("_sig").alias("_ga"))
-    right = sigs.select(F.col("_set").alias("_b"), F.col("_sig").alias("_gb"))
+    left = sigs.select(F.col("_set").alias("_a"), F.col("_sig").alias("_ga"), F.col("_n").alias("_na"))
+    right = sigs.select(F.col("_set").alias("_b"), F.col("_sig").alias("_gb"), F.col("_n").alias("_nb"))
     both = pairs.select("_a", "_b").distinct().join(left, "_a").join(right, "_b")
-    return materialize(both.where(_agree("_ga", "_gb") >= SURE).select("_a", "_b"), "near-dup-alike")
+    return materialize(both.where(_may_link("_ga", "_gb", "_na", "_nb")).select("_a", "_b"), "near-dup-alike")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (_a, _b) whose full sets are similar enough."""
+def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("_set").alias("_a"), F.col("_shingles").alias("_sa"))
     right = sets.select(F.col("_set").alias("_b"), F.col("_shingles").alias("_sb"))
-    both = pairs.join(left, "_a").join(right, "_b")
+    return pairs.join(left, "_a").join(right, "_b")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (_a, _b) whose full sets are similar enough."""
     common = F.size(F.array_intersect("_sa", "_sb"))
     union = F.size("_sa") + F.size("_sb") - common
-    return materialize(both.where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
+    return materialize(_joined(pairs, sets).where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(_set, _label): the smallest digest of each node's component, for nodes with an edge.
+def _bits(shingles):
+    """A bit set of 64 * ``_WORDS`` bits of some hashes."""
+    word = lambda k: F.aggregate(
+        F.filter(shingles, lambda x: F.pmod(x, F.lit(_WORDS)) == k),
+        F.lit(0).cast("long"),
+        lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright(x, 4).bitwiseAND(F.lit(63))).cast("int"))),
+    )
+    return F.transform(F.array(*[F.lit(k) for k in range(_WORDS)]), word)
+
 
-    ``edges`` (_a, _b) is read once. Rounds of large-star and small-star until nothing changes.
+def _common():
+    """The most shingles that a member and one of the same centre (columns ending in _c) can share.
+
+    At least as many of the centre's shingles are missing in one of them as bits are set in either.
     """
-    now = edges.select(F.greatest("_a", "_b").alias("_v"), F.least("_a", "_b").alias("_u")).where("_v <> _u")
-    now, before = materialize(now.distinct(), "near-dup-star"), None
-    while True:
-        both = now.unionByName(now.select(F.col("_u").alias("_v"), F.col("_v").alias("_u")))
-        least = both.groupBy("_v").agg(F.least(F.col("_v"), F.min("_u")).alias("_m"))
-        large = both.where("_u > _v").join(least, "_v").select(F.col("_u").alias("_v"), F.col("_m").alias("_u"))
-        large = large.distinct()
-        least = large.groupBy("_v").agg(F.min("_u").alias("_m"))
-        small = large.join(least, "_v")
-        small = small.select(F.explode(F.array(F.struct("_v", F.col("_m").alias("_u")), F.struct(F.col("_u").alias("_v"), F.col("_m").alias("_u")))).alias("_e"))
-        now = materialize(small.select("_e.*").where("_v <> _u").distinct(), "near-dup-star")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_v", "_u").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    roots = now.select(F.col("_u").alias("_set")).distinct()
-    return now.select(F.col("_v").alias("_set"), F.col("_u").alias("_label")).unionByName(
-        roots.select("_set", F.col("_set").alias("_label"))
-    )
+    lost = F.lit(0)
+    for k in range(_WORDS):
+        lost = lost + F.bit_count(F.col("_gone")[k].bitwiseOR(F.col("_gone_c")[k]))
+    return F.least(F.col("_hub") - lost, "_in", "_in_c") + F.least("_out", "_out_c")
+
+
+def reach(rest: DataFrame, fetch) -> DataFrame:
+    """``rest`` with what ties each member to its centre: ``_hub`` and ``_in``, the centre's shingles and those it shares;
+    ``_gone``, bits that stand for the others; ``_out``, shingles outside the centre that another partner has outside too.
+    """
+    pairs = materialize(rest.select(F.col("_set").alias("_a"), F.col("_centre").alias("_b")).distinct(), "near-dup-open-pairs")
+    sets = fetch(pairs)
+    parts = _joined(pairs, sets).select("_a", "_b", F.size("_sa").alias("_na"), F.array_except("_sa", "_sb").alias("_own"), F.size("_sb").alias("_hub"), _bits(F.array_except("_sb", "_sa")).alias("_gone"))
+    parts = materialize(parts, "near-dup-parts")
+    own = parts.select("_a", "_b", F.explode("_own").alias("_s"))
+    again = own.groupBy("_b", "_s").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k")
+    outside = own.join(again, ["_b", "_s"], "left_semi").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_out"))
+    facts = parts.select("_a", "_b", (F.col("_na") - F.size("_own")).alias("_in"), "_hub", "_gone").join(outside, ["_a", "_b"], "left")
+    facts = facts.select(F.col("_a").alias("_set"), F.col("_b").alias("_centre"), "_in", "_hub", "_gone", F.coalesce("_out", F.lit(0)).alias("_out"))
+    out = materialize(rest.join(facts, ["_set", "_centre"]), "near-dup-reach")
+    discard(pairs, sets, parts)
+    return out
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(_set, _label): the smallest digest of each node's component, for nodes with an edge."""
+    return graph.components(edges, "near-dup-star").withColumnRenamed("_node", "_set")
 
 
 def _fits(a: str, b: str):
@@ -259,6 +294,18 @@ def _fits(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def _open(rest: DataFrame, key: list[str]) -> DataFrame:
+    """The buckets whose members lie in several components: members, pairs within components, smallest set."""
+    groups = rest.groupBy(*key, "_label").agg(F.count(F.lit(1)).alias("_k"), F.min("_n").alias("_n")).groupBy(*key)
+    groups = groups.agg(F.sum("_k").alias("_size"), F.sum(F.col("_k") * F.col("_k")).alias("_same"), F.min("_n").alias("_least"))
+    return materialize(groups.where("_size * _size > _same"), "near-dup-open")
+
+
+def _enough(common, n, other):
+    """Whether ``common`` shared shingles would make sets of n and ``other`` shingles similar enough."""
+    return common * 100 >= (n + other - common) * PERCENT
+
+
 def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
     """(_a, _b): confirmed links whose components are those of all candidate pairs.
 
@@ -269,16 +316,23 @@ def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
     centres = members.groupBy(*key).agg(F.max(F.struct("_score", "_set", "_n")).alias("_c"))
     stars = members.join(centres, key).where((F.col("_set") != F.col("_c._set")) & _fits("_n", "_c._n"))
     pairs = alike(stars.select(F.col("_set").alias("_a"), F.col("_c._set").alias("_b")), sigs)
-    found = confirm(pairs, fetch(pairs))
+    sets = fetch(pairs)
+    found = confirm(pairs, sets)
+    discard(pairs, sets)
     # A round's centres have met every member; they leave.
-    rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key).where("_set <> _centre")
-    rest, turn = rest.drop("_centre").join(sigs, "_set"), 0
+    rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key).where("_set <> _centre").drop("_score")
+    turn = 0
     while True:
         rest = rest.join(components(found), "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
         rest = materialize(rest, "near-dup-rest")
-        groups = rest.groupBy(*key, "_label").agg(F.count(F.lit(1)).alias("_k")).groupBy(*key)
-        groups = groups.agg(F.sum("_k").alias("_size"), F.sum(F.col("_k") * F.col("_k")).alias("_same"))
-        groups = materialize(groups.where("_size * _size > _same"), "near-dup-open")
+        groups = _open(rest, key)
+        if turn == 0 and not groups.isEmpty():
+            rest = reach(rest.join(groups.select(*key), key, "left_semi"), fetch)
+            # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
+            common = F.col("_in") + F.col("_out")
+            rest = rest.join(groups.select(*key, "_least"), key).where(_enough(common, F.col("_n"), F.greatest("_least", common))).drop("_least")
+            rest = materialize(rest.join(sigs.drop("_n"), "_set"), "near-dup-rest")
+            groups = _open(rest, key)
         untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
         if not untested:
             return found
@@ -286,18 +340,20 @@ def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         share, turn = PAIRS_PER_DOCUMENT * documents / untested, turn + 1
         drawn = F.pmod(F.xxhash64("_set", F.lit(turn)), F.lit(1 << 20)) < int(share * (1 << 20))
         first = rest.groupBy(*key).agg(F.max(F.struct("_label", "_set")).alias("_f")).select(*key, F.col("_f._set").alias("_first"))
-        rest = rest.join(first, key).withColumn("_centre", drawn | (F.col("_set") == F.col("_first")))
+        rest = rest.join(first, key).withColumn("_chosen", drawn | (F.col("_set") == F.col("_first")))
         rest = materialize(rest.drop("_first"), "near-dup-round")
-        centre = rest.where("_centre").select(
-            *key, *[F.col(c).alias(f"{c}_c") for c in ("_set", "_n", "_sig", "_label")]
-        )
-        met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c") & (_agree("_sig", "_sig_c") >= SURE)
+        columns = ("_set", "_n", "_sig", "_label", "_in", "_out", "_gone")
+        centre = rest.where("_chosen").select(*key, *[F.col(c).alias(f"{c}_c") for c in columns])
+        met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c") & _enough(_common(), F.col("_n"), F.col("_n_c"))
+        met &= _may_link("_sig", "_sig_c", "_n", "_n_c")
         # Two centres meet once.
-        met &= ~F.col("_centre") | (F.col("_set") < F.col("_set_c"))
+        met &= ~F.col("_chosen") | (F.col("_set") < F.col("_set_c"))
         pairs = rest.alias("m").join(centre.alias("c"), [F.col(f"m.{k}") == F.col(f"c.{k}") for k in key] + [met])
         pairs = materialize(pairs.select(F.col("_set").alias("_a"), F.col("_set_c").alias("_b")).distinct(), "near-dup-alike")
-        found = found.unionByName(confirm(pairs, fetch(pairs)))
-        rest = rest.where("NOT _centre").drop("_centre", "_label")
+        sets = fetch(pairs)
+        found = found.unionByName(confirm(pairs, sets))
+        discard(groups, pairs, sets)
+        rest = rest.where("NOT _chosen").drop("_chosen", "_label")
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

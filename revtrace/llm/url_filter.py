@@ -8,7 +8,7 @@
    urls are one resource. Comments, scripts, styles and textareas count for
    nothing. Targets are resolved against the page's url; ``&amp;`` is read as ``&``.
 3. *Classes.* Connected components of the edges by large-star and small-star
-   (:mod:`revtrace.llm.graph`): urls are compared by 128-bit digests of host, path (``/`` if
+   (:mod:`revtrace.operators.graph`): urls are compared by 128-bit digests of host, path (``/`` if
    empty) and query; scheme and fragment do not count, dot segments stay as they are.
    Only edges are shuffled, never pages.
 4. *Propagation.* A url with a rule keeps the rule's verdict. One without takes its class's: allowed
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtrace.llm.common import lower_ascii, materialize
-from revtrace.llm.graph import components
+from revtrace.operators.graph import components
 
 
 @dataclass(frozen=True)
