@@ -12,9 +12,9 @@ replayed. The rest of that word is then put back, so the lower rank is applied
 first: the result is the one of merging each word on its own, lowest rank
 first and leftmost first. A word that is itself a token gets that token's id at once.
 
-Documents are encoded where they are read: no shuffle, no broadcast. Every task
-reads the rank file from its path (the same file must be on every machine). The
-memory of a task is bounded by a batch of rows plus a word cache of
+Documents are encoded where they are read: no shuffle, no broadcast. Every worker process
+reads the rank file from its path (the same file must be on every machine) and keeps it, with the
+words it has encoded, for the tasks that follow. The memory of a task is bounded by a batch of rows plus a word cache of
 ``CACHE_WORDS`` entries, which is emptied when full and changes no result.
 
 Defined results: a null text counts as empty (no tokens). Repeated rows are
@@ -27,7 +27,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +205,19 @@ class Codec:
         return b"".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def codec(rank_path: str, pattern: str) -> Codec:
+    """The codec of a vocabulary and pattern, kept for the next task of this worker process.
+
+    Functions shipped by value bring new module globals with every task: what is kept is kept
+    under a module name of its own. Its words stay bounded by ``CACHE_WORDS``.
+    """
+    store = sys.modules.setdefault("_revtrace_codecs", ModuleType("_revtrace_codecs")).__dict__
+    key = f"{rank_path}\0{pattern}"
+    if key not in store:
+        store[key] = Codec(rank_path, pattern)
+    return store[key]
+
+
 def _groups(texts: list[str], limit: int = 8_000_000) -> Iterator[list[str]]:
     """Runs of texts of about ``limit`` characters: each is one corpus of the replay."""
     group, size = [], 0
@@ -243,13 +258,13 @@ def encode_documents(
         del fields[2]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(rank_path, pattern)
+        known = codec(rank_path, pattern)
         for batch in batches:
             done, texts = 0, batch.column(1).to_pylist()
             for group in _groups(texts):
                 n, lists, ids_sha, dec_sha, same = [], [], [], [], []
-                for text, ids in zip(group, codec.encode(group), strict=True):
-                    raw = codec.decode(ids)
+                for text, ids in zip(group, known.encode(group), strict=True):
+                    raw = known.decode(ids)
                     n.append(len(ids) // 4)
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
                     dec_sha.append(hashlib.sha256(raw).hexdigest())

@@ -27,7 +27,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrace.llm.common import keyed, materialize
@@ -49,53 +49,93 @@ ROLES = {
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+#: Documents with more matches of a pattern than this are folded row by row, not inside one array.
+FEW = 256
+
+
+def _pieces(text: Column, found: Column, pattern: str) -> Column:
+    """Lengths of what stands before each match. A text is its pieces between matches and the matches, in turn."""
+    return F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda p: F.length(p))
+
+
 def located(text: Column, found: Column, pattern: str) -> Column:
-    """Matches with their places. A text is its pieces between matches and the matches, in turn."""
-    both = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("piece"), found.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
+    """Matches with their places, for a few matches: appending to an array copies it."""
+    both = F.arrays_zip(_pieces(text, found, pattern).alias("piece"), found.alias("match"))
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["piece"])
+        begin = acc["at"] + x["piece"]
         end = begin + F.length(x["match"])
         span = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
     return F.when(F.size(found) > 0, F.aggregate(both, start, step)["out"]).otherwise(none)
 
 
+#: Pattern, column, kind of a match that holds, kind of one that does not, and what holds; in the order of the columns.
+_LONG = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
+_ANY = lambda m: F.lit(True)
+SCANS = [
+    (ASSIGN, "_a", "assign", "weak_assign", _LONG),
+    (ACCESS, "_k", "access", "weak_access", lambda m: F.length(m) >= 20),
+    (HEX, "_x", "hex", "weak_hex", lambda m: F.length(m) >= 24),
+    (NAME, "_n", "name", None, _ANY),
+    (ENDPOINT, "_e", "endpoint", None, _ANY),
+]
+
+
+def _kind(match: Column, strong: str, weak: str | None, holds) -> Column:
+    """The number of a match's kind, -1 for none."""
+    low = F.lit(KINDS.index(weak) if weak else -1)
+    return F.when(holds(match), KINDS.index(strong)).otherwise(low)
+
+
 def _of(spans: Column, strong: str, weak: str | None, holds) -> Column:
     """Spans as (start, kind, end); those failing ``holds`` are weak, or dropped without a weak kind."""
-    low = F.lit(KINDS.index(weak) if weak else -1)
-    all_ = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"), F.when(holds(s["match"]), KINDS.index(strong)).otherwise(low).alias("kind"), s["end"].alias("end")
-        ),
-    )
+    kind = lambda s: _kind(s["match"], strong, weak, holds)
+    all_ = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), kind(s).alias("kind"), s["end"].alias("end")))
     return F.filter(all_, lambda s: s["kind"] >= 0)
 
 
 def parts(docs: DataFrame) -> DataFrame:
-    """(_id, _h, _parts): all spans and weak candidates of every document; no row is left out."""
+    """(_id, _h, _parts): all spans and weak candidates of every document; no row is left out.
+
+    A document's places are folded in one pass over its matches. With more than ``FEW`` matches of a
+    pattern, each match becomes a row and places are running sums over the rows of the
+    document: linear in the matches, where an array that grows match by match is not.
+    """
     text = F.col("_text")
-    found = docs.select(
-        "_id", "_h", "_text",
-        *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(n) for n, p in (("_a", ASSIGN), ("_k", ACCESS), ("_x", HEX), ("_n", NAME))],
-    )
+    found = docs.select("_id", "_h", "_text", *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(c) for p, c, *_ in SCANS[:4]])
     # Endpoints only matter beside an identifier and a secret.
     both = ((F.size("_k") > 0) | (F.size("_n") > 0)) & ((F.size("_a") > 0) | (F.size("_x") > 0))
     found = found.withColumn("_e", F.when(both, F.regexp_extract_all(text, F.lit(ENDPOINT), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    long_value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
-    any_ = lambda m: F.lit(True)
-    spans = F.concat(
-        _of(located(text, F.col("_a"), ASSIGN), "assign", "weak_assign", long_value),
-        _of(located(text, F.col("_k"), ACCESS), "access", "weak_access", lambda m: F.length(m) >= 20),
-        _of(located(text, F.col("_x"), HEX), "hex", "weak_hex", lambda m: F.length(m) >= 24),
-        _of(located(text, F.col("_n"), NAME), "name", None, any_),
-        _of(located(text, F.col("_e"), ENDPOINT), "endpoint", None, any_),
-    ).cast(_SPAN)
-    return materialize(found.select("_id", "_h", F.array_sort(spans).alias("_parts")), "secrets-parts")
+    few = F.greatest(*[F.size(c) for _, c, *_ in SCANS]) <= FEW
+    spans = F.concat(*[_of(located(text, F.col(c), p), strong, weak, holds) for p, c, strong, weak, holds in SCANS]).cast(_SPAN)
+    raw = F.array(*[F.arrays_zip(_pieces(text, F.col(c), p).alias("piece"), F.col(c).alias("match")) for p, c, *_ in SCANS])
+    found = found.select("_id", "_h", F.when(few, F.array_sort(spans)).alias("_parts"), F.when(~few, raw).alias("_raw"))
+    found = materialize(found, "secrets-parts")
+    many = found.where("_raw IS NOT NULL")
+    if many.isEmpty():
+        return found.drop("_raw")
+    return found.where("_raw IS NULL").drop("_raw").unionByName(materialize(_by_rows(many), "secrets-many"))
+
+
+def _by_rows(many: DataFrame) -> DataFrame:
+    """(_id, _h, _parts) from the pieces and matches of documents with many of them."""
+    one = many.groupBy("_id", "_h").agg(F.first("_raw").alias("_raw"))
+    rows = one.select("_id", "_h", F.posexplode("_raw").alias("_scan", "_all")).select("_id", "_h", "_scan", F.posexplode("_all").alias("_at", "_m"))
+    match = F.col("_m.match")
+    so_far = Window.partitionBy("_id", "_h", "_scan").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_end", F.sum(F.col("_m.piece") + F.length(match)).over(so_far).cast("int"))
+    kind = F.lit(-1)
+    for k, (_, _, strong, weak, holds) in enumerate(SCANS):
+        kind = F.when(F.col("_scan") == k, _kind(match, strong, weak, holds)).otherwise(kind)
+    span = F.struct((F.col("_end") - F.length(match)).alias("start"), kind.alias("kind"), F.col("_end").alias("end"))
+    spans = rows.select("_id", "_h", span.alias("_s")).where("_s.kind >= 0").groupBy("_id", "_h").agg(F.collect_list("_s").alias("_found"))
+    spans = spans.select(F.col("_id").alias("_sid"), F.col("_h").alias("_sh"), F.array_sort(F.col("_found").cast(_SPAN)).alias("_found"))
+    all_ = many.select("_id", "_h").join(spans, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_h") == F.col("_sh")), "left")
+    return all_.select("_id", "_h", F.coalesce("_found", F.array().cast(_SPAN)).alias("_parts"))
 
 
 def _role(kind: Column) -> Column:

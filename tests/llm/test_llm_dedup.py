@@ -143,6 +143,46 @@ def test_near_keep_one(near_copies):
     assert len(groups) == len({v[1] if v[0] else d for d, v in by_hand.items()})
 
 
+def test_near_copies_that_do_not_link_make_few_pairs(spark, monkeypatch):
+    """Copies with edits of their own, too far from each other: the reach bound rules pairs out, and changes no result."""
+    random.seed(11)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    base = random.choices(vocabulary, k=200)
+    rows = []
+    for k in range(160):
+        changed = list(base)
+        for at in random.sample(range(200), 8 if k else 0):
+            changed[at] = random.choice(vocabulary)
+        rows.append((k, " ".join(changed[: 200 - k % 3 * 5])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_id", F.lit(1))
+    kept, pairs = near_dup.materialize, []
+
+    def written(frame, purpose):
+        out = kept(frame, purpose)
+        if purpose == "near-dup-alike":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "materialize", written)
+    check(df, near_dup.near_dedup(df), ["n_shingles", "component_id", "kept"], near_by_hand(df))
+    assert sum(pairs[1:]) < 160  # of 12,720
+
+
+def test_near_small_sets(spark):
+    """Sets of up to two dozen shingles have an exact path: every link is found."""
+    random.seed(12)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    rows = []
+    for _ in range(150):
+        base = random.choices(vocabulary, k=random.randint(5, 28))
+        rows.append(" ".join(base))
+        for _ in range(3):
+            longer = base + random.choices(vocabulary, k=random.randint(0, 6))
+            rows.append(" ".join(longer[random.randint(0, 2) :]))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("_id", F.lit(1))
+    check(df, near_dup.near_dedup(df), ["n_shingles", "component_id", "kept"], near_by_hand(df))
+
+
 def test_signature_estimates_similarity():
     import numpy as np
 
