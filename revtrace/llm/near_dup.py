@@ -63,6 +63,9 @@ BINS = BANDS * ROWS
 PAIRS_PER_DOCUMENT = 16
 #: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
 SMALL = 32
+#: Open buckets of more members than this are first thinned by what ties members to their centre.
+CROWD = 16
+_REACH = [("_in", "int"), ("_hub", "int"), ("_gone", "array<long>"), ("_out", "long")]
 #: Standard deviations below the expected number of equal minima.
 SURE = 6
 _LONGS = 13
@@ -278,7 +281,7 @@ def reach(rest: DataFrame, fetch) -> DataFrame:
     again = own.groupBy("_b", "_s").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k")
     outside = own.join(again, ["_b", "_s"], "left_semi").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_out"))
     facts = parts.select("_a", "_b", (F.col("_na") - F.size("_own")).alias("_in"), "_hub", "_gone").join(outside, ["_a", "_b"], "left")
-    facts = facts.select(F.col("_a").alias("_set"), F.col("_b").alias("_centre"), "_in", "_hub", "_gone", F.coalesce("_out", F.lit(0)).alias("_out"))
+    facts = facts.select(F.col("_a").alias("_set"), F.col("_b").alias("_centre"), "_in", "_hub", "_gone", F.coalesce("_out", F.lit(0)).cast("long").alias("_out"))
     out = materialize(rest.join(facts, ["_set", "_centre"]), "near-dup-reach")
     discard(pairs, sets, parts)
     return out
@@ -306,8 +309,8 @@ def _enough(common, n, other):
     return common * 100 >= (n + other - common) * PERCENT
 
 
-def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
-    """(_a, _b): confirmed links whose components are those of all candidate pairs.
+def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
+    """(_set, _label): components of the confirmed links, which are those of all candidate pairs.
 
     ``fetch`` gives the full sets of the classes in a frame of pairs.
     """
@@ -321,21 +324,27 @@ def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
     discard(pairs, sets)
     # A round's centres have met every member; they leave.
     rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key).where("_set <> _centre").drop("_score")
-    turn = 0
+    turn, labels = 0, components(found)
     while True:
-        rest = rest.join(components(found), "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
+        rest = rest.join(labels, "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
         rest = materialize(rest, "near-dup-rest")
         groups = _open(rest, key)
-        if turn == 0 and not groups.isEmpty():
-            rest = reach(rest.join(groups.select(*key), key, "left_semi"), fetch)
-            # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
-            common = F.col("_in") + F.col("_out")
-            rest = rest.join(groups.select(*key, "_least"), key).where(_enough(common, F.col("_n"), F.greatest("_least", common))).drop("_least")
-            rest = materialize(rest.join(sigs.drop("_n"), "_set"), "near-dup-rest")
+        if turn == 0:
+            rest = rest.join(groups.select(*key, "_size", "_least"), key)
+            hot = F.col("_size") > CROWD
+            few, many = rest.where(~hot), materialize(rest.where(hot), "near-dup-crowds")
+            plain = [F.lit(None).cast(t).alias(c) for c, t in _REACH]
+            rest = few.select("*", *plain)
+            if not many.isEmpty():
+                # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
+                common = F.col("_in") + F.col("_out")
+                many = reach(many, fetch).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
+                rest = rest.unionByName(many)
+            rest = materialize(rest.drop("_size", "_least").join(sigs.drop("_n"), "_set"), "near-dup-rest")
             groups = _open(rest, key)
         untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
         if not untested:
-            return found
+            return labels
         rest = rest.join(groups.select(*key), key, "left_semi")
         share, turn = PAIRS_PER_DOCUMENT * documents / untested, turn + 1
         drawn = F.pmod(F.xxhash64("_set", F.lit(turn)), F.lit(1 << 20)) < int(share * (1 << 20))
@@ -344,14 +353,18 @@ def links(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         rest = materialize(rest.drop("_first"), "near-dup-round")
         columns = ("_set", "_n", "_sig", "_label", "_in", "_out", "_gone")
         centre = rest.where("_chosen").select(*key, *[F.col(c).alias(f"{c}_c") for c in columns])
-        met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c") & _enough(_common(), F.col("_n"), F.col("_n_c"))
+        met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c")
+        met &= F.col("_in").isNull() | _enough(_common(), F.col("_n"), F.col("_n_c"))
         met &= _may_link("_sig", "_sig_c", "_n", "_n_c")
         # Two centres meet once.
         met &= ~F.col("_chosen") | (F.col("_set") < F.col("_set_c"))
         pairs = rest.alias("m").join(centre.alias("c"), [F.col(f"m.{k}") == F.col(f"c.{k}") for k in key] + [met])
         pairs = materialize(pairs.select(F.col("_set").alias("_a"), F.col("_set_c").alias("_b")).distinct(), "near-dup-alike")
         sets = fetch(pairs)
-        found = found.unionByName(confirm(pairs, sets))
+        new = confirm(pairs, sets)
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            labels = components(found)
         discard(groups, pairs, sets)
         rest = rest.where("NOT _chosen").drop("_chosen", "_label")
 
@@ -364,8 +377,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     docs = describe(df, id_col, text_col)
     members = bucket_members(docs)
-    found = links(docs, members, lambda pairs: full_sets(df, docs, pairs, id_col, text_col))
-    labels = components(found)
+    labels = linked(docs, members, lambda pairs: full_sets(df, docs, pairs, id_col, text_col))
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
     least = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(first).alias("_first"))
     least = least.join(labels, "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))
