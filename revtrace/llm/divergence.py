@@ -41,54 +41,59 @@ TOP = 50
 SCALE = 1_000_000_000
 PRIOR = 5
 #: Entries a task counts before it passes them on, and code points tokenised at once.
-TABLE = 200_000
+TABLE = 600_000
 PIECE = 1 << 20
 
 _TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 _PART = re.compile("[\x00-\x40\x5b-\x60\x7b-\x7f]")
-_FOLD = {c: c + 32 for c in range(0x41, 0x5B)}
+#: Documents and occurrences of a table's entry in one integer.
+_DOCUMENT = 1 << 48
 
 
 def text_terms(text: str) -> Counter:
     """The terms of one text with their counts; a long text is read in pieces cut between terms."""
-    raw: Counter = Counter()
+    out: Counter = Counter()
+    text = text.encode().lower().decode()  # bytes: only A-Z change
     at = 0
     while at < len(text):
         end = at + PIECE
         cut = _PART.search(text, end) if end < len(text) else None
         stop = cut.start() if cut else len(text)
-        raw.update(_TERM.findall(text, at, stop))
+        out.update(_TERM.findall(text, at, stop))
         at = stop
-    out: Counter = Counter()
-    for term, n in raw.items():
-        out[term.lower() if term.isascii() else term.translate(_FOLD)] += n
     return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs) from (lang, text, sources): sums of one task, passed on when the table is full."""
-    table: dict[tuple[str, str, str], list[int]] = {}
+    """(lang, source, term, n, docs) from (lang, text, sources): sums of one task, passed on when the tables are full."""
+    tables: dict[tuple[str, str], dict[str, int]] = {}
+    entries = 0
 
-    def rows() -> pa.RecordBatch:
-        lang, source, term = zip(*table, strict=True)
-        n, docs = zip(*table.values(), strict=True)
-        strings = [pa.array(c, pa.string()) for c in (lang, source, term)]
-        return pa.RecordBatch.from_arrays([*strings, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["_lang", "_source", "_term", "_n", "_docs"])
+    def rows() -> Iterator[pa.RecordBatch]:
+        for (lang, source), table in tables.items():
+            docs, n = zip(*[divmod(v, _DOCUMENT) for v in table.values()], strict=True)
+            same = [pa.repeat(pa.scalar(c, pa.string()), len(table)) for c in (lang, source)]
+            columns = [*same, pa.array(list(table), pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["_lang", "_source", "_term", "_n", "_docs"])
 
     for batch in batches:
-        for lang, text, sources in zip(*batch.columns, strict=True):
-            lang, sources = lang.as_py(), sources.as_py()
-            for term, n in text_terms(text.as_py()).items():
-                for s in sources:
-                    k = s["_k"]
-                    entry = table.setdefault((lang, s["_source"], term), [0, 0])
-                    entry[0] += n * k
-                    entry[1] += k
-                    if len(table) >= TABLE:
-                        yield rows()
-                        table.clear()
-    if table:
-        yield rows()
+        for lang, text, sources in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            terms = text_terms(text)
+            if not terms:
+                continue
+            for s in sources:
+                k = s["_k"]
+                table = tables.setdefault((lang, s["_source"]), {})
+                entries -= len(table)
+                get, once = table.get, k * _DOCUMENT
+                for term, n in terms.items():
+                    table[term] = get(term, 0) + once + n * k
+                entries += len(table)
+                if entries >= TABLE:
+                    yield from rows()
+                    tables.clear()
+                    entries = 0
+    yield from rows()
 
 
 def distinct_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
