@@ -63,9 +63,6 @@ BINS = BANDS * ROWS
 PAIRS_PER_DOCUMENT = 16
 #: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
 SMALL = 32
-#: Open buckets of more members than this are first thinned by what ties members to their centre.
-CROWD = 16
-_REACH = [("_in", "int"), ("_hub", "int"), ("_gone", "array<long>"), ("_out", "long")]
 #: Standard deviations below the expected number of equal minima.
 SURE = 6
 _LONGS = 13
@@ -330,18 +327,13 @@ def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         rest = materialize(rest, "near-dup-rest")
         groups = _open(rest, key)
         if turn == 0:
-            rest = rest.join(groups.select(*key, "_size", "_least"), key)
-            hot = F.col("_size") > CROWD
-            few, many = rest.where(~hot), materialize(rest.where(hot), "near-dup-crowds")
-            plain = [F.lit(None).cast(t).alias(c) for c, t in _REACH]
-            rest = few.select("*", *plain)
-            if not many.isEmpty():
+            rest = materialize(rest.join(groups.select(*key, "_least"), key), "near-dup-crowds")
+            if not rest.isEmpty():
                 # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
                 common = F.col("_in") + F.col("_out")
-                many = reach(many, fetch).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
-                rest = rest.unionByName(many)
-            rest = materialize(rest.drop("_size", "_least").join(sigs.drop("_n"), "_set"), "near-dup-rest")
-            groups = _open(rest, key)
+                rest = reach(rest, fetch).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
+                rest = materialize(rest.drop("_least").join(sigs.drop("_n"), "_set"), "near-dup-rest")
+                groups = _open(rest, key)
         untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
         if not untested:
             return labels
@@ -354,7 +346,7 @@ def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         columns = ("_set", "_n", "_sig", "_label", "_in", "_out", "_gone")
         centre = rest.where("_chosen").select(*key, *[F.col(c).alias(f"{c}_c") for c in columns])
         met = (F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c")
-        met &= F.col("_in").isNull() | _enough(_common(), F.col("_n"), F.col("_n_c"))
+        met &= _enough(_common(), F.col("_n"), F.col("_n_c"))
         met &= _may_link("_sig", "_sig_c", "_n", "_n_c")
         # Two centres meet once.
         met &= ~F.col("_chosen") | (F.col("_set") < F.col("_set_c"))

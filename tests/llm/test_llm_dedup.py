@@ -129,7 +129,6 @@ def test_near(near_copies):
 def test_near_rounds_lose_no_link(near_copies, monkeypatch):
     """With every comparison left to further star rounds the components are the same."""
     monkeypatch.setattr(near_dup, "PAIRS_PER_DOCUMENT", 0)
-    monkeypatch.setattr(near_dup, "CROWD", 0)
     check(near_copies, near_dup.near_dedup(near_copies), ["n_shingles", "component_id", "kept"], near_by_hand(near_copies))
 
 
