@@ -86,7 +86,7 @@ def check_length(d: Domain, tables: list[str] | None = None) -> DataFrame:
     return _union(out)
 
 
-def _key_duplicates(
+def key_duplicates(
     df: DataFrame, cols: list[str], table: str, constraint: str, nulls_violate: bool
 ) -> DataFrame:
     """Duplicate groups and surplus rows of a key, in one grouped pass.
@@ -122,7 +122,7 @@ def check_primary_key(d: Domain, tables: list[str] | None = None) -> DataFrame:
     """
     return _union(
         [
-            _key_duplicates(d[n], list(TABLES[n].primary_key), n, TABLES[n].pk_name, True)
+            key_duplicates(d[n], list(TABLES[n].primary_key), n, TABLES[n].pk_name, True)
             for n in tables or list(TABLES)
         ]
     )
@@ -131,7 +131,7 @@ def check_primary_key(d: Domain, tables: list[str] | None = None) -> DataFrame:
 def check_unique(d: Domain, tables: list[str] | None = None) -> DataFrame:
     """Per UNIQUE constraint: duplicate groups and surplus rows (NULLs ignored)."""
     out = [
-        _key_duplicates(d[n], list(u.columns), n, u.name, False)
+        key_duplicates(d[n], list(u.columns), n, u.name, False)
         for n in tables or list(TABLES)
         for u in TABLES[n].uniques
     ]

@@ -22,11 +22,13 @@ class Domain:
         self,
         spark: SparkSession,
         builders: Mapping[str, Callable[[], DataFrame]],
+        version: int | None = None,
     ):
         missing = set(TABLE_NAMES) - set(builders)
         if missing:
             raise ValueError(f"domain lacks tables: {sorted(missing)}")
         self.spark = spark
+        self.version = version  # of the publication the tables were read from, if any
         self._builders = dict(builders)
         self._frames: dict[str, DataFrame] = {}
 
@@ -67,6 +69,6 @@ class Domain:
             if k not in TABLE_NAMES:
                 raise KeyError(k)
             builders[k] = lambda df=df: df
-        out = Domain(self.spark, builders)
+        out = Domain(self.spark, builders, self.version)
         out._frames = {k: v for k, v in self._frames.items() if k not in frames}
         return out

@@ -19,17 +19,22 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def run_path(root: str, table: str, run_id: str) -> str:
-    """The folder of the rows that one run added to a table."""
+def valid_run(run_id: str) -> str:
+    """The id of a run, which becomes part of a folder's name."""
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", run_id):
         raise ValueError(f"not a run id: {run_id!r}")
-    return f"{table_path(root, table)}/run-{run_id}"
+    return run_id
+
+
+def run_path(root: str, table: str, run_id: str) -> str:
+    """The folder of the rows that one run added to a table."""
+    return f"{table_path(root, table)}/run-{valid_run(run_id)}"
 
 
-def read_path(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A stored table: its own files and those of the runs added to it."""
+def read_path(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+    """A stored table, of one folder or several: its own files and those of the runs added to it."""
     reader = spark.read.schema(TABLES[table].spark_schema).option("recursiveFileLookup", "true")
-    return reader.parquet(path)
+    return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
