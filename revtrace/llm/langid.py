@@ -3,14 +3,23 @@
 *Training* (driver, numpy): windows of ``TRAIN_BYTES`` bytes are cut from a
 bounded sample of the labelled rows, and both directions are trained by
 backpropagation through time with a label at every position. The sample holds
-about ``per_lang`` documents of each language, chosen by a hash of their text;
+about ``per_lang`` distinct texts of each language, chosen by a hash of the text, so that copies count once;
 ``per_lang`` times the number of languages bounds what reaches the driver.
 
 *Prediction* (executors): every byte of every text is read. A text is cut into
 windows of ``WINDOW`` bytes; the network labels each position from all bytes of
 its window, both directions, and the document's probabilities are the mean over
-all its positions. Nothing but the text is an input. The model is a few
-kilobytes and travels with the tasks; there is no shuffle.
+all its positions. Nothing but the text is an input. The model is about a
+quarter of a megabyte per language and travels with the tasks; prediction needs no shuffle.
+
+*Rejection* (:func:`keep_known`): the probabilities of the learned languages always add
+up to one, so they cannot tell that a text is in none of them. The likelihood of its
+letter pairs can: each language counts the byte pairs of half of its windows, the
+other half shows what its texts usually reach, and a text whose pairs fall short of that
+by more than ``MAX_GAP`` bits in every language is in none. Digits, marks and the
+case of A-Z do not count, so code, numbers and shouting are no other language. A short text
+can fall short by chance: the bits are divided by the root of ``TRAIN_BYTES`` over its pairs, so a
+few words are given the benefit of the doubt.
 
 Defined results: a null text, an empty one and one without any letter give
 ``und`` with score 0. Rows whose id is null are held out. With no labelled row
@@ -36,6 +45,10 @@ HIDDEN = 12
 WINDOW = 128
 TRAIN_BYTES = 64
 UNKNOWN = "und"
+# Bits per letter pair. On the texts of sf0.1 the largest gap is 2.3; sentences of unlearned languages
+# in the same letters begin at 3.4, chance letters at 7, other scripts at 14.
+MAX_GAP = 3.0
+PIECE = 1 << 20  # byte pairs looked up at once
 
 
 @dataclass
@@ -56,6 +69,8 @@ class Model:
     ahead: Direction
     back: Direction
     bias: np.ndarray  # (languages, 1)
+    pairs: np.ndarray | None = None  # (languages, 65536): bits of each byte pair
+    usual: np.ndarray | None = None  # (languages,): what texts of the language reach
 
     def parts(self) -> list[np.ndarray]:
         return [*self.ahead.parts(), *self.back.parts(), self.bias]
@@ -143,6 +158,63 @@ def train(windows: list[bytes], labels: list[str], steps: int = 260, batch: int
     return model
 
 
+def _pair_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Bytes with A-Z folded, and which pairs count: letters or bytes of other scripts, at most one blank."""
+    fold = np.arange(256)
+    fold[65:91] += 32
+    letter = np.zeros(256, bool)
+    letter[97:123] = letter[128:] = True
+    blank = np.arange(256) == 32
+    counts = np.logical_and.outer(letter | blank, letter | blank) & np.logical_or.outer(letter, letter)
+    return fold, counts.ravel()
+
+
+FOLD, COUNTS = _pair_tables()
+
+
+def _pair_means(pairs: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean bits of the counted pairs per language and text (languages, n), and how many count (n)."""
+    n = len(offsets) - 1
+    total, size = np.zeros((len(pairs), n)), np.zeros(n)
+    for i in range(0, max(len(data) - 1, 0), PIECE):
+        x = FOLD[data[i : i + PIECE + 1]]
+        pair = x[:-1] * 256 + x[1:]
+        at = np.arange(i, i + len(pair))
+        text = np.searchsorted(offsets, at, "right") - 1
+        use = COUNTS[pair] & (at + 1 < offsets[text + 1])  # both bytes in one text
+        pair, text = pair[use], text[use]
+        size += np.bincount(text, minlength=n)
+        for k, bits in enumerate(pairs):
+            total[k] += np.bincount(text, bits[pair], n)
+    return total / np.maximum(size, 1), size
+
+
+def profile(model: Model, windows: list[bytes], labels: list[str]) -> Model:
+    """Letter pairs of each language: counted in every other window, the usual bits from the rest."""
+    tables, usual = [], []
+    for lang in model.langs:
+        mine = [w for w, y in zip(windows, labels, strict=True) if y == lang]
+        seen, rest = mine[::2], mine[1::2] or mine
+        x = FOLD[np.frombuffer(b"".join(seen), np.uint8).reshape(-1, TRAIN_BYTES)]
+        count = np.bincount((x[:, :-1] * 256 + x[:, 1:]).ravel(), minlength=65536).reshape(256, 256)
+        single = (count.sum(0) + 0.5) / (count.sum() + 128)
+        bits = np.log2((count + 4 * single) / (count.sum(1, keepdims=True) + 4)).astype("f4").reshape(1, -1)
+        offsets = np.arange(len(rest) + 1) * TRAIN_BYTES
+        mean, size = _pair_means(bits, np.frombuffer(b"".join(rest), np.uint8), offsets)
+        enough = mean[0][size >= min(24, size.max())]
+        tables.append(bits[0])
+        usual.append(np.median(enough))
+    model.pairs, model.usual = np.array(tables), np.array(usual)
+    return model
+
+
+def gaps(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per text by how many bits a pair it falls short of the nearest language; 0 if nothing counts."""
+    mean, size = _pair_means(model.pairs, data, offsets)
+    short = (model.usual[:, None] - mean).min(0) / np.sqrt(np.maximum(1, TRAIN_BYTES / np.maximum(size, 1)))
+    return np.where(size > 0, short, 0.0)
+
+
 class Reader:
     """Labels every byte of many texts at once."""
 
@@ -218,18 +290,19 @@ def held_out(id_col: Column) -> Column:
 def sample_windows(
     df: DataFrame, per_lang: int, windows: int, id_col: str, text_col: str, lang_col: str
 ) -> tuple[list[bytes], list[str]]:
-    """About ``per_lang`` labelled documents of each language, ``windows`` windows from all over each."""
+    """About ``per_lang`` distinct labelled texts of each language, ``windows`` windows from all over each."""
     rows = df.select(
         F.col(f"`{text_col}`").cast("string").alias("_text"), F.col(f"`{lang_col}`").cast("string").alias("_lang")
     ).where((F.col("_lang") != UNKNOWN) & ~held_out(F.col(f"`{id_col}`")) & F.col("_text").rlike(r"\p{L}"))
     draw = F.pmod(F.xxhash64(F.lit("lang sample"), "_text"), F.lit(1 << 30)) / float(1 << 30)
-    counts = rows.groupBy("_lang").count().collect()
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["_lang"], float(per_lang) / r["count"])]) if counts else None
+    texts = F.approx_count_distinct(F.xxhash64("_text"), 0.02)
+    counts = rows.groupBy("_lang").agg(texts.alias("texts")).collect()
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["_lang"], float(per_lang) / max(r["texts"], 1))]) if counts else None
     if share is None:
         return [], []
     start = (F.length("_text") / windows).cast("int")
     cut = F.array(*[F.substring("_text", start * k + 1, F.lit(TRAIN_BYTES)) for k in range(windows)])
-    got = rows.where(draw < share[F.col("_lang")]).select("_lang", cut.alias("_cut")).collect()
+    got = rows.where(draw < share[F.col("_lang")]).select("_lang", cut.alias("_cut")).distinct().collect()
     xs, ys = [], []
     for r in sorted(got, key=lambda r: (r["_lang"], r["_cut"])):
         for c in r["_cut"]:
@@ -250,7 +323,7 @@ def fit(
 ) -> Model | None:
     """Train on a bounded sample of the labelled rows that are not held out."""
     xs, ys = sample_windows(df, per_lang, windows, id_col, text_col, lang_col)
-    return train(xs, ys) if xs else None
+    return profile(train(xs, ys), xs, ys) if xs else None
 
 
 def _label(model: Model | None, column: int):
@@ -301,15 +374,19 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     return df.select(F.col(f"`{id_col}`").alias("_id"), _lettered(text_col).alias("_text")).mapInArrow(rows, schema)
 
 
-def keep_known(df: DataFrame, model: Model | None, min_score: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The input rows, all columns, whose language is known with at least ``min_score``."""
+def keep_known(df: DataFrame, model: Model | None, max_gap: float = MAX_GAP, text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, that are in a language of the model: labelled, and within ``max_gap`` of one."""
     arrow_rows(df.sparkSession)
     width, label = len(df.columns), _label(model, len(df.columns))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, pred, score, _ in label(batches):
-            kept = batch.filter(pa.array((pred != UNKNOWN) & (score >= min_score)))
-            yield kept.select(range(width))
+        for batch, pred, _, _ in label(batches):
+            keep = pred != UNKNOWN
+            if keep.any():
+                offsets, data = buffers(batch.column(width))
+                start = int(offsets[0])
+                keep &= gaps(model, data[start : int(offsets[-1])], offsets - start) <= max_gap
+            yield batch.filter(pa.array(keep)).select(range(width))
 
     name = "_lettered"
     while name in df.columns:
