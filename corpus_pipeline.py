@@ -4,8 +4,8 @@ Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
 returns a DataFrame: the columns of ``documents`` for all stages but the last,
 which returns the token ids.
 
-1. language: documents whose language is unknown (null, without letters, or
-   scored below 0.3) go;
+1. language: documents that are null, without letters, or in none of the
+   learned languages go;
 2. exact dedup: one row of each group of equal texts stays;
 3. near-dedup: one document of each group of near copies stays;
 4. decontamination: documents that hold a benchmark item go;
