@@ -12,8 +12,9 @@
 3. *Star edges.* In every bucket one class is the centre, the one whose
    buckets are fullest, and each other member is compared with it only. Links are
    confirmed on full sets: 100 * intersection >= 75 * union.
-4. *No link is lost.* In buckets whose members still lie in different components, the full
-   sets say exactly who can still link. Of members u and v, with centre h, the common
+4. *No link is lost.* Buckets whose members still lie in different components are open. In open buckets of
+   up to ``CROWD`` members those leave whose signature fits no member of another component. For the rest the
+   full sets say exactly who can still link. Of members u and v, with centre h, the common
    shingles lie in h, less what u or v lacks of it (counted by a bit set, never too many), or outside,
    at most the smaller number of those that some other partner of h has outside h too. A member that no set
    of the bucket's sizes could reach leaves; in a group of near copies with edits of their own that is
@@ -61,6 +62,8 @@ BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 #: So many signatures per document of the input are compared in one round.
 PAIRS_PER_DOCUMENT = 16
+#: In open buckets of up to so many members, signatures say first whose full sets are needed.
+CROWD = 16
 #: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
 SMALL = 32
 #: Standard deviations below the expected number of equal minima.
@@ -284,6 +287,18 @@ def reach(rest: DataFrame, fetch) -> DataFrame:
     return out
 
 
+def tangled(rest: DataFrame, sigs: DataFrame, key: list[str]) -> DataFrame:
+    """The members that some member of another component in their bucket may link with, by sizes and signatures.
+
+    For buckets of bounded size; the others have nothing left to be compared with.
+    """
+    member = rest.join(sigs.drop("_n"), "_set")
+    partner = member.select(*[F.col(c).alias(f"{c}_c") for c in (*key, "_set", "_n", "_sig", "_label")])
+    met = [F.col(k) == F.col(f"{k}_c") for k in key] + [(F.col("_label") != F.col("_label_c")) & _fits("_n", "_n_c")]
+    met += [_may_link("_sig", "_sig_c", "_n", "_n_c")]
+    return member.join(partner, met, "left_semi").drop("_sig")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(_set, _label): the smallest digest of each node's component, for nodes with an edge."""
     return graph.components(edges, "near-dup-star").withColumnRenamed("_node", "_set")
@@ -327,13 +342,16 @@ def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         rest = materialize(rest, "near-dup-rest")
         groups = _open(rest, key)
         if turn == 0:
-            rest = materialize(rest.join(groups.select(*key, "_least"), key), "near-dup-crowds")
+            crowds = materialize(rest.join(groups.select(*key, "_least", "_size"), key), "near-dup-crowds")
+            few = tangled(crowds.where(F.col("_size") <= CROWD), sigs, key)
+            rest = materialize(crowds.where(F.col("_size") > CROWD).unionByName(few).drop("_size"), "near-dup-rest")
+            discard(groups, crowds)
             if not rest.isEmpty():
                 # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
                 common = F.col("_in") + F.col("_out")
                 rest = reach(rest, fetch).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
                 rest = materialize(rest.drop("_least").join(sigs.drop("_n"), "_set"), "near-dup-rest")
-                groups = _open(rest, key)
+            groups = _open(rest, key)
         untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
         if not untested:
             return labels
