@@ -44,10 +44,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +67,14 @@ PAIRS_PER_DOCUMENT = 16
 CROWD = 16
 #: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
 SMALL = 32
+#: Spark's runtime Bloom filter: 4 MB; with more keys than it is sized for it lets more rows pass, never fewer.
+BLOOM = {
+    "enabled": "true",
+    "applicationSideScanSizeThreshold": "16MB",
+    "creationSideThreshold": "1GB",
+    "expectedNumItems": "4000000",
+    "numBits": str(32 << 20),
+}
 #: Standard deviations below the expected number of equal minima.
 SURE = 6
 _LONGS = 13
@@ -199,7 +208,9 @@ def bucket_members(docs: DataFrame) -> DataFrame:
     counts = rows.groupBy("_band", "_bucket").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
     shared = materialize(rows.join(counts, ["_band", "_bucket"]), "near-dup-buckets")
     score = shared.groupBy("_set").agg(F.sum("_size").alias("_score"))
-    return materialize(shared.drop("_size").join(score, "_set"), "near-dup-members")
+    members = materialize(shared.drop("_size").join(score, "_set"), "near-dup-members")
+    discard(shared)
+    return members
 
 
 def signatures(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -209,24 +220,41 @@ def signatures(docs: DataFrame, members: DataFrame) -> DataFrame:
     return materialize(one.select("_set", F.col("_s._sig").alias("_sig"), F.col("_s._n").alias("_n")), "near-dup-signatures")
 
 
-def full_sets(df: DataFrame, docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_set, _shingles) of every class in a pair, from the whole text of one of its documents.
+def member_sets(df: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_set, _shingles) of every class that shares a bucket, from the whole text of one of its documents: written once.
 
     The documents asked for are a table of keys: broadcast where it is below the session's
-    threshold, else joined by a shuffle of the texts.
+    threshold, else joined by a shuffle of the texts that pass a Bloom filter of the keys.
     """
-    one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_id", "_h")).alias("_d"))
-    asked = pairs.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
-    one = one.join(asked, "_set", "left_semi").select("_set", F.col("_d._id").alias("_did"), F.col("_d._h").alias("_dh"))
-    one = materialize(one, "near-dup-asked")
-    rows = keyed(df, id_col, text_col).join(one, F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dh") == F.col("_h")))
+    one = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(F.struct("_id", "_h")).alias("_d"), F.min("_n").alias("_dn"))
+    one = one.join(members.select("_set").distinct(), "_set", "left_semi")
+    # One key for id and hash: structs are equal where both hold null.
+    key = F.struct(F.col("_d._id").alias("i"), F.col("_d._h").alias("h"))
+    one = materialize(one.select("_set", key.alias("_key"), "_dn"), "near-dup-asked")
     schema = T.StructType([T.StructField("_set", T.BinaryType()), T.StructField("_shingles", T.ArrayType(T.LongType()))])
-    rows = rows.select("_set", "_text").mapInArrow(_sets, schema)
-    sets = materialize(rows.dropDuplicates(["_set"]), "near-dup-sets")
+    texts = keyed(df, id_col, text_col).select(F.struct(F.col("_id").alias("i"), F.col("_h").alias("h")).alias("_key"), "_text")
+    with _bloom_filters(df.sparkSession):
+        # Spark builds the filter from a side that is itself filtered.
+        rows = texts.join(one.where("_dn > 0"), "_key").dropDuplicates(["_key"])
+        sets = materialize(rows.select("_set", "_text").mapInArrow(_sets, schema), "near-dup-sets")
     discard(one)
     return sets
 
 
+@contextmanager
+def _bloom_filters(spark: SparkSession) -> Iterator[None]:
+    """Joins by a shuffle drop what cannot match in front of it, also below Spark's usual sizes. The filter has a fixed size."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    old = {prefix + k: spark.conf.get(prefix + k) for k in BLOOM}
+    for k, v in BLOOM.items():
+        spark.conf.set(prefix + k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """The distinct pairs (_a, _b) whose signatures leave room for a link: written once."""
     left = sigs.select(F.col("_set").alias("_a"), F.col("_sig").alias("_ga"), F.col("_n").alias("_na"))
@@ -238,14 +266,15 @@ def alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("_set").alias("_a"), F.col("_shingles").alias("_sa"))
     right = sets.select(F.col("_set").alias("_b"), F.col("_shingles").alias("_sb"))
-    return pairs.join(left, "_a").join(right, "_b")
+    return pairs.where("_a <> _b").join(left, "_a").join(right, "_b")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (_a, _b) whose full sets are similar enough."""
     common = F.size(F.array_intersect("_sa", "_sb"))
     union = F.size("_sa") + F.size("_sb") - common
-    return materialize(_joined(pairs, sets).where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
+    with _bloom_filters(pairs.sparkSession):
+        return materialize(_joined(pairs, sets).where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
 
 
 def _bits(shingles):
@@ -269,21 +298,21 @@ def _common():
     return F.least(F.col("_hub") - lost, "_in", "_in_c") + F.least("_out", "_out_c")
 
 
-def reach(rest: DataFrame, fetch) -> DataFrame:
+def reach(rest: DataFrame, sets: DataFrame) -> DataFrame:
     """``rest`` with what ties each member to its centre: ``_hub`` and ``_in``, the centre's shingles and those it shares;
     ``_gone``, bits that stand for the others; ``_out``, shingles outside the centre that another partner has outside too.
     """
     pairs = materialize(rest.select(F.col("_set").alias("_a"), F.col("_centre").alias("_b")).distinct(), "near-dup-open-pairs")
-    sets = fetch(pairs)
     parts = _joined(pairs, sets).select("_a", "_b", F.size("_sa").alias("_na"), F.array_except("_sa", "_sb").alias("_own"), F.size("_sb").alias("_hub"), _bits(F.array_except("_sb", "_sa")).alias("_gone"))
-    parts = materialize(parts, "near-dup-parts")
+    with _bloom_filters(rest.sparkSession):
+        parts = materialize(parts, "near-dup-parts")
     own = parts.select("_a", "_b", F.explode("_own").alias("_s"))
     again = own.groupBy("_b", "_s").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k")
     outside = own.join(again, ["_b", "_s"], "left_semi").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_out"))
     facts = parts.select("_a", "_b", (F.col("_na") - F.size("_own")).alias("_in"), "_hub", "_gone").join(outside, ["_a", "_b"], "left")
     facts = facts.select(F.col("_a").alias("_set"), F.col("_b").alias("_centre"), "_in", "_hub", "_gone", F.coalesce("_out", F.lit(0)).cast("long").alias("_out"))
     out = materialize(rest.join(facts, ["_set", "_centre"]), "near-dup-reach")
-    discard(pairs, sets, parts)
+    discard(pairs, parts)
     return out
 
 
@@ -321,19 +350,18 @@ def _enough(common, n, other):
     return common * 100 >= (n + other - common) * PERCENT
 
 
-def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
+def linked(docs: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """(_set, _label): components of the confirmed links, which are those of all candidate pairs.
 
-    ``fetch`` gives the full sets of the classes in a frame of pairs.
+    ``sets`` holds the full sets of the classes in ``members``.
     """
     key = ["_band", "_bucket"]
     sigs, documents = signatures(docs, members), docs.count()
     centres = members.groupBy(*key).agg(F.max(F.struct("_score", "_set", "_n")).alias("_c"))
     stars = members.join(centres, key).where((F.col("_set") != F.col("_c._set")) & _fits("_n", "_c._n"))
     pairs = alike(stars.select(F.col("_set").alias("_a"), F.col("_c._set").alias("_b")), sigs)
-    sets = fetch(pairs)
     found = confirm(pairs, sets)
-    discard(pairs, sets)
+    discard(pairs)
     # A round's centres have met every member; they leave.
     rest = members.join(centres.select(*key, F.col("_c._set").alias("_centre")), key).where("_set <> _centre").drop("_score")
     turn, labels = 0, components(found)
@@ -349,7 +377,7 @@ def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
             if not rest.isEmpty():
                 # No set of the bucket is smaller than its smallest, and none holds more common shingles than it has.
                 common = F.col("_in") + F.col("_out")
-                rest = reach(rest, fetch).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
+                rest = reach(rest, sets).where(_enough(common, F.col("_n"), F.greatest("_least", common)))
                 rest = materialize(rest.drop("_least").join(sigs.drop("_n"), "_set"), "near-dup-rest")
             groups = _open(rest, key)
         untested = groups.agg(F.sum((F.col("_size") * F.col("_size") - F.col("_same")) / 2)).first()[0]
@@ -370,12 +398,11 @@ def linked(docs: DataFrame, members: DataFrame, fetch) -> DataFrame:
         met &= ~F.col("_chosen") | (F.col("_set") < F.col("_set_c"))
         pairs = rest.alias("m").join(centre.alias("c"), [F.col(f"m.{k}") == F.col(f"c.{k}") for k in key] + [met])
         pairs = materialize(pairs.select(F.col("_set").alias("_a"), F.col("_set_c").alias("_b")).distinct(), "near-dup-alike")
-        sets = fetch(pairs)
         new = confirm(pairs, sets)
         if not new.isEmpty():
             found = found.unionByName(new)
             labels = components(found)
-        discard(groups, pairs, sets)
+        discard(groups, pairs)
         rest = rest.where("NOT _chosen").drop("_chosen", "_label")
 
 
@@ -387,7 +414,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     docs = describe(df, id_col, text_col)
     members = bucket_members(docs)
-    labels = linked(docs, members, lambda pairs: full_sets(df, docs, pairs, id_col, text_col))
+    sets = member_sets(df, docs, members, id_col, text_col)
+    labels = linked(docs, members, sets)
+    discard(members, sets)
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
     least = docs.where("_set IS NOT NULL").groupBy("_set").agg(F.min(first).alias("_first"))
     least = least.join(labels, "_set", "left").withColumn("_label", F.coalesce("_label", "_set"))

@@ -73,6 +73,20 @@ def test_exact_native(copies):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_exact_moves_no_text(copies, monkeypatch):
+    """Digests and counts are shuffled; the texts are not."""
+    kept, plans = exact_dedup.materialize, []
+
+    def written(frame, purpose):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return kept(frame, purpose)
+
+    monkeypatch.setattr(exact_dedup, "materialize", written)
+    exact_dedup.exact_dedup(copies)
+    assert len(plans) == 1 and "HashAggregate(keys=[_digest" in plans[0]
+    assert not re.search(r"(keys=|hashpartitioning)[^\])]*_norm", plans[0]), plans[0]
+
+
 # -- near
 
 
@@ -168,6 +182,24 @@ def test_near_copies_that_do_not_link_make_few_pairs(spark, monkeypatch):
     assert sum(pairs[1:]) < 160  # of 12,720
 
 
+def test_near_reads_the_texts_once(near_copies, no_broadcast, monkeypatch):
+    """However many rounds: full sets are taken once, from texts that pass a Bloom filter before they are shuffled."""
+    monkeypatch.setattr(near_dup, "PAIRS_PER_DOCUMENT", 0)
+    monkeypatch.setitem(near_dup.BLOOM, "applicationSideScanSizeThreshold", "0")
+    stored = near_dup.materialize(near_copies, "test-texts")
+    kept, plans = near_dup.materialize, []
+
+    def written(frame, purpose):
+        if purpose == "near-dup-sets":
+            plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return kept(frame, purpose)
+
+    monkeypatch.setattr(near_dup, "materialize", written)
+    check(near_copies, near_dup.near_dedup(stored), ["n_shingles", "component_id", "kept"], near_by_hand(near_copies))
+    assert len(plans) == 1 and "might_contain" in plans[0], plans
+    assert no_broadcast.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold") != "0"
+
+
 def test_near_small_sets(spark):
     """Sets of up to two dozen shingles have an exact path: every link is found."""
     random.seed(12)
