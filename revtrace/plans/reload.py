@@ -90,20 +90,10 @@ def reload_report(d: Domain, staged: bool = True) -> DataFrame:
     row_level = reduce(
         lambda a, b: a.unionByName(b), [_row_checks(d, t) for t in TABLES]
     )
-    keyed = reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            quality.check_primary_key(d).select(
-                "table_name", F.lit("duplicate_key").alias("rule"), "violations"
-            ),
-            quality.check_unique(d).select(
-                "table_name", F.lit("duplicate_key").alias("rule"), "violations"
-            ),
-            quality.check_foreign_key(d).select(
-                "table_name", F.lit("foreign_key").alias("rule"), "violations"
-            ),
-        ],
+    unique = quality.check_unique(d).select(
+        "table_name", F.lit("duplicate_key").alias("rule"), "violations"
     )
+    keyed = quality.check_keys(d).drop("constraint_name").unionByName(unique)
     return _report(row_level, keyed)
 
 
