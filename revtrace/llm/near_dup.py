@@ -44,7 +44,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +51,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtrace.llm.common import arrow_rows, carried, keyed, materialize, text_of
+from revtrace.llm.common import BLOOM, arrow_rows, bloom_filters, carried, keyed, materialize, text_of
 from revtrace.llm.words import mix, pieces, shingle_sets
 from revtrace.operators import graph
 from revtrace.session import discard
@@ -67,14 +66,6 @@ PAIRS_PER_DOCUMENT = 16
 CROWD = 16
 #: Pairs whose smaller set has up to three quarters of this are found by the exact path too.
 SMALL = 32
-#: Spark's runtime Bloom filter: 4 MB; with more keys than it is sized for it lets more rows pass, never fewer.
-BLOOM = {
-    "enabled": "true",
-    "applicationSideScanSizeThreshold": "16MB",
-    "creationSideThreshold": "1GB",
-    "expectedNumItems": "4000000",
-    "numBits": str(32 << 20),
-}
 #: Standard deviations below the expected number of equal minima.
 SURE = 6
 _LONGS = 13
@@ -233,7 +224,7 @@ def member_sets(df: DataFrame, docs: DataFrame, members: DataFrame, id_col: str,
     one = materialize(one.select("_set", key.alias("_key"), "_dn"), "near-dup-asked")
     schema = T.StructType([T.StructField("_set", T.BinaryType()), T.StructField("_shingles", T.ArrayType(T.LongType()))])
     texts = keyed(df, id_col, text_col).select(F.struct(F.col("_id").alias("i"), F.col("_h").alias("h")).alias("_key"), "_text")
-    with _bloom_filters(df.sparkSession):
+    with bloom_filters(df.sparkSession):
         # Spark builds the filter from a side that is itself filtered.
         rows = texts.join(one.where("_dn > 0"), "_key").dropDuplicates(["_key"])
         sets = materialize(rows.select("_set", "_text").mapInArrow(_sets, schema), "near-dup-sets")
@@ -241,20 +232,6 @@ def member_sets(df: DataFrame, docs: DataFrame, members: DataFrame, id_col: str,
     return sets
 
 
-@contextmanager
-def _bloom_filters(spark: SparkSession) -> Iterator[None]:
-    """Joins by a shuffle drop what cannot match in front of it, also below Spark's usual sizes. The filter has a fixed size."""
-    prefix = "spark.sql.optimizer.runtime.bloomFilter."
-    old = {prefix + k: spark.conf.get(prefix + k) for k in BLOOM}
-    for k, v in BLOOM.items():
-        spark.conf.set(prefix + k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-
-
 def alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """The distinct pairs (_a, _b) whose signatures leave room for a link: written once."""
     left = sigs.select(F.col("_set").alias("_a"), F.col("_sig").alias("_ga"), F.col("_n").alias("_na"))
@@ -273,7 +250,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (_a, _b) whose full sets are similar enough."""
     common = F.size(F.array_intersect("_sa", "_sb"))
     union = F.size("_sa") + F.size("_sb") - common
-    with _bloom_filters(pairs.sparkSession):
+    with bloom_filters(pairs.sparkSession):
         return materialize(_joined(pairs, sets).where(common * 100 >= union * PERCENT).select("_a", "_b"), "near-dup-links")
 
 
@@ -304,7 +281,7 @@ def reach(rest: DataFrame, sets: DataFrame) -> DataFrame:
     """
     pairs = materialize(rest.select(F.col("_set").alias("_a"), F.col("_centre").alias("_b")).distinct(), "near-dup-open-pairs")
     parts = _joined(pairs, sets).select("_a", "_b", F.size("_sa").alias("_na"), F.array_except("_sa", "_sb").alias("_own"), F.size("_sb").alias("_hub"), _bits(F.array_except("_sb", "_sa")).alias("_gone"))
-    with _bloom_filters(rest.sparkSession):
+    with bloom_filters(rest.sparkSession):
         parts = materialize(parts, "near-dup-parts")
     own = parts.select("_a", "_b", F.explode("_own").alias("_s"))
     again = own.groupBy("_b", "_s").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revtrace.llm import exact_dedup, near_dup, segments, substring_dedup, suffix_dedup
+from revtrace.llm.common import BLOOM
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,6 +88,32 @@ def test_exact_moves_no_text(copies, monkeypatch):
     assert not re.search(r"(keys=|hashpartitioning)[^\])]*_norm", plans[0]), plans[0]
 
 
+def test_exact_compares_whole_texts(spark, monkeypatch):
+    """Two texts of one digest, one length and one xxHash are two groups: only their content tells them apart."""
+    monkeypatch.setattr(exact_dedup, "sha256", lambda t: F.length(t).cast("string"))
+    a, b = "the same text as", "xrcebyfki}8_zf>x"
+    df = spark.createDataFrame([(1, a), (2, b), (3, a.upper()), (4, b), (5, "alone")], "doc_id long, text string")
+    assert df.where("doc_id < 3").select(F.xxhash64("text")).distinct().count() == 1
+    got = exact_dedup.exact_dedup(df, digest=exact_dedup.sha256)
+    assert sorted(got.select("doc_id", "keep_id", "group_size").collect()) == [(1, 3, 2), (2, 4, 2), (3, 3, 2), (4, 4, 2), (5, 5, 1)]
+
+
+def test_exact_compares_only_repeated_digests(copies, no_broadcast, monkeypatch):
+    """Texts whose digest comes once are not shuffled; copies are combined by their task and under a salt first."""
+    monkeypatch.setitem(BLOOM, "applicationSideScanSizeThreshold", "0")
+    stored, plans, several = exact_dedup.materialize(copies, "test-texts"), [], exact_dedup._several
+
+    def compared(texts):
+        query = texts._jdf.queryExecution()
+        plans.append((query.optimizedPlan().toString(), query.executedPlan().toString()))
+        return several(texts)
+
+    monkeypatch.setattr(exact_dedup, "_several", compared)
+    exact_dedup.exact_dedup(stored)
+    assert len(plans) == 1 and "might_contain" in plans[0][0], plans
+    assert re.search(r"hashpartitioning\(_digest[^)]*pmod[^)]*_norm|hashpartitioning\(_digest[^)]*_groupingexpression[^)]*_norm", plans[0][1]), plans
+
+
 # -- near
 
 
