@@ -98,6 +98,15 @@ def test_exact_compares_whole_texts(spark, monkeypatch):
     assert sorted(got.select("doc_id", "keep_id", "group_size").collect()) == [(1, 3, 2), (2, 4, 2), (3, 3, 2), (4, 4, 2), (5, 5, 1)]
 
 
+def test_exact_keep_one_compares_whole_texts(spark, monkeypatch):
+    """The pipeline's stage keeps a row of each text, also of texts that share digest, length and xxHash."""
+    monkeypatch.setattr(exact_dedup, "sha256", lambda t: F.length(t).cast("string"))
+    monkeypatch.setattr(exact_dedup.exact_dedup, "__defaults__", (*exact_dedup.exact_dedup.__defaults__[:-1], exact_dedup.sha256))
+    a, b = "the same text as", "xrcebyfki}8_zf>x"
+    df = spark.createDataFrame([(1, a), (2, b), (3, a.upper()), (4, b), (5, "alone")], "doc_id long, text string")
+    assert sorted(exact_dedup.keep_one(df).collect()) == [(3, a.upper()), (4, b), (5, "alone")]
+
+
 def test_exact_compares_only_repeated_digests(copies, no_broadcast, monkeypatch):
     """Texts whose digest comes once are not shuffled; copies are combined by their task and under a salt first."""
     monkeypatch.setitem(BLOOM, "applicationSideScanSizeThreshold", "0")
